@@ -50,11 +50,16 @@ class PieceEncoder:
         cut[:, ord("'")] = False
         cut[:, 0x80:0xC0] = False  # inside a character
         self.cut = cut
+        self.space = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
         self.known: dict[bytes, list[int]] = {}
 
     def pieces(self, data: np.ndarray) -> np.ndarray:
-        """Places at which the bytes may be cut."""
-        return np.flatnonzero(self.cut[data[:-1], data[1:]]) + 1
+        """Places at which the bytes are cut: before white space, and elsewhere in pieces longer than LONGEST_KNOWN."""
+        at = np.flatnonzero(self.cut[data[:-1], data[1:]]) + 1
+        word = self.space[data[at]]
+        ends = np.concatenate([at[word], [len(data)]])
+        length = np.diff(ends, prepend=0)
+        return at[word | (length[np.searchsorted(ends, at)] > LONGEST_KNOWN)]
 
     def encode(self, piece: bytes) -> list[int]:
         ids = self.known.get(piece)
