@@ -9,24 +9,20 @@ A cluster is kept as one row (v, u) per member, never as an array, so the cluste
 component that holds a third of all records is spread over all tasks. The least member
 per vertex is combined on the map side; the join that brings it back is on rows whose
 other side is unique, so a skewed partition of it is split (adaptive skew join); rows are
-made unique by hashing (v, u), which no vertex dominates.
+made unique by hashing (v, u), which no vertex dominates. Components that are whole take no
+part in further rounds.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from frameloom.plans.scratch import Scratch
 
 
-def _stable(clusters: DataFrame, least: DataFrame) -> bool:
-    """Whether all clusters are mutual stars: nobody but a centre holds two members, and each row (v, u) has its (u, v)."""
-    pair = F.xxhash64(F.least("v", "u"), F.greatest("v", "u"))
-    sides = clusters.agg(F.count_if(F.col("u") > F.col("v")).alias("down"), F.count_if(F.col("u") < F.col("v")).alias("up"), F.bit_xor(pair).alias("unmatched")).first()
-    return sides.down == sides.up and not sides.unmatched and least.where("m < v AND n > 1").isEmpty()
-
-
 def hash_to_min(links: DataFrame, scratch: Scratch, a: str = "a", b: str = "b", most_rounds: int = 60) -> DataFrame:
     """(id, group_id) of every record with a link to another; group_id is the least id of its component.
 
@@ -37,12 +33,21 @@ def hash_to_min(links: DataFrame, scratch: Scratch, a: str = "a", b: str = "b",
     ends = links.select(F.col(a).cast("bigint").alias("v"), F.col(b).cast("bigint").alias("u")).where("v IS NOT NULL AND u IS NOT NULL AND v <> u")
     both = ends.select(F.explode(F.array(F.struct("v", "u"), F.struct(F.col("u").alias("v"), F.col("v").alias("u")))).alias("e")).select("e.*")
     clusters = scratch.keep(both.distinct())
+    done: list[DataFrame] = []
     for _ in range(most_rounds):
-        least = scratch.keep(clusters.groupBy("v").agg(F.least(F.col("v"), F.min("u")).alias("m"), F.count(F.lit(1)).alias("n")))
-        if _stable(clusters, least):
-            return least.select(F.col("v").alias("id"), F.col("m").alias("group_id"))
-        to_least = clusters.join(least, "v").where("u <> m").select("m", "u").unionByName(least.where("m < v").select("m", F.col("v").alias("u")))
+        least = clusters.groupBy("v").agg(F.least(F.col("v"), F.min("u")).alias("m"), F.count(F.lit(1)).alias("n"))
+        least = scratch.keep(least)
+        # Clusters are mutual, so a component is whole once all members of its least record hold that one only.
+        single = least.where("m < v AND n = 1").groupBy("m").agg(F.count(F.lit(1)).alias("k"))
+        whole = least.where("m = v").join(single.withColumnRenamed("m", "v"), "v").where("n = k").select(F.col("v").alias("m"), F.lit(True).alias("whole"))
+        state = scratch.keep(least.join(whole, "m", "left").select("v", "m", F.coalesce("whole", F.lit(False)).alias("whole")))
+        scratch.drop(least)
+        done.append(state.where("whole").select(F.col("v").alias("id"), F.col("m").alias("group_id")))
+        open_ = state.where("NOT whole").select("v", "m")
+        if open_.isEmpty():
+            return reduce(DataFrame.unionByName, done)
+        to_least = clusters.join(open_, "v").where("u <> m").select("m", "u").unionByName(open_.where("m < v").select("m", F.col("v").alias("u")))
         sent = to_least.select(F.explode(F.array(F.struct(F.col("m").alias("v"), "u"), F.struct(F.col("u").alias("v"), F.col("m").alias("u")))).alias("e")).select("e.*").distinct()
         before, clusters = clusters, scratch.keep(sent)
-        scratch.drop(before, least)
+        scratch.drop(before)
     raise RuntimeError(f"no stable clusters after {most_rounds} rounds")
