@@ -49,21 +49,25 @@ def split_spelling(split: Column) -> Column:
 
 def stem(file: Column) -> Column:
     """The file name in lower case without its extension."""
-    return F.regexp_replace(F.lower(file), r"(?s)\.[^.]*\z", "")
+    f = F.lower(file)
+    return F.when(F.contains(f, F.lit(".")), F.left(f, F.length(f) - F.length(F.substring_index(f, ".", -1)) - 1)).otherwise(f)
 
 
 def export_mark(file: Column) -> Column:
     """The 32 hex digits of the export mark in lower case; null where there is none."""
-    found = F.regexp_extract(stem(file), r"\.rf\.([0-9a-f]{32})\z", 1)
-    return F.when(found != "", found)
+    return F.when(F.left(F.right(stem(file), F.lit(36)), F.lit(4)) == ".rf.", F.nullif(F.regexp_extract(stem(file), r"\.rf\.([0-9a-f]{32})\z", 1), F.lit("")))
 
 
 def base_name(file: Column) -> Column:
-    """Lower-case name without extension, export mark, all up to the first `__`, and mirror mark."""
-    s = F.regexp_replace(stem(file), EXPORT_MARK, "")
+    """Lower-case name without extension, export mark, all up to the first `__`, and mirror mark.
+
+    Patterns are tried only where a plain comparison says that they may match.
+    """
+    s = stem(file)
+    s = F.when(F.contains(s, F.lit(".rf.")), F.regexp_replace(s, EXPORT_MARK, "")).otherwise(s)
     at = F.instr(s, "__")
     s = F.when(at > 0, s.substr(at + 2, F.length(s))).otherwise(s)
-    return F.regexp_replace(s, r"[ _-]?flip\z", "")
+    return F.when(F.endswith(s, F.lit("flip")), F.regexp_replace(s, r"[ _-]?flip\z", "")).otherwise(s)
 
 
 def variant_base(file: Column) -> Column:
@@ -72,28 +76,26 @@ def variant_base(file: Column) -> Column:
 
 
 def _number(digits: Column) -> Column:
-    """BIGINT of a digit run; null for an empty run or one beyond 18 digits."""
-    bare = F.regexp_replace(digits, r"\A0+(?=[0-9])", "")
-    return F.when(F.length(bare).between(1, 18), bare.cast("bigint"))
-
-
-def clip_and_frame(base: Column) -> tuple[Column, Column]:
-    """(clip, frame number) of a base name; both null for images of no clip. A clip's name may be empty."""
-    timed = _number(F.regexp_extract(base, TIMED_FRAME, 2))
-    digits = F.regexp_extract(base, r"([0-9]+)\z", 1)
-    tail = _number(digits)
-    plain = ~base.rlike(TIMED_FRAME) & (tail <= LARGEST_FRAME)
-    before = F.regexp_replace(base.substr(F.lit(1), F.length(base) - F.length(digits)), r"[ _-]\z", "")
-    clip = F.when(timed.isNotNull(), F.regexp_extract(base, TIMED_FRAME, 1)).when(plain, before)
-    return clip, F.when(timed.isNotNull(), timed).when(plain, tail)
+    """BIGINT of a digit run; null for an empty or null run or one beyond 18 digits without leading zeros."""
+    return F.when((digits != "") & (F.length(F.ltrim(digits, F.lit("0"))) <= 18), digits.cast("bigint"))
 
 
 def with_names(df: DataFrame, path: str = "image_path") -> DataFrame:
-    """Adds __file, __base, __clip and __frame, each computed once, in projections of their own."""
-    df = df.withColumn("__file", path_file(F.col(path)))
-    df = df.withColumn("__base", base_name(F.col("__file")))
-    clip, frame = clip_and_frame(F.col("__base"))
-    return df.withColumns({"__clip": clip, "__frame": frame})
+    """Adds __file, __base, __clip and __frame (both null for images of no clip; a clip's name may be empty).
+
+    Each step is a projection of its own, so that nothing is computed twice.
+    """
+    base, digits = F.col("__base"), F.lit("0123456789")
+    df = df.withColumn("__file", path_file(F.col(path))).withColumn("__base", base_name(F.col("__file")))
+    df = df.withColumns({"__head": F.rtrim(base, digits), "__timed": F.when(F.contains(base, F.lit("_t")), F.nullif(F.regexp_extract(base, TIMED_FRAME, 2), F.lit("")))})
+    df = df.withColumns({"__tail": _number(base.substr(F.length("__head") + 1, F.length("__base"))), "__at": _number(F.col("__timed"))})
+    head, plain = F.col("__head"), F.col("__timed").isNull() & (F.col("__tail") <= LARGEST_FRAME)
+    before = F.when(F.right(head, F.lit(1)).isin(" ", "_", "-"), F.left(head, F.length(head) - 1)).otherwise(head)
+    df = df.withColumns({
+        "__clip": F.when(F.col("__at").isNotNull(), F.regexp_extract(base, TIMED_FRAME, 1)).when(plain, before),
+        "__frame": F.when(F.col("__at").isNotNull(), F.col("__at")).when(plain, F.col("__tail")),
+    })
+    return df.drop("__head", "__timed", "__tail", "__at")
 
 
 def dataset_of_flat_name(name: Column) -> Column:
