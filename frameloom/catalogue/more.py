@@ -113,29 +113,12 @@ def c32_metric_lines(v: Views) -> DataFrame:
 
 @query()
 def e9_detection_duplicates(v: Views) -> DataFrame:
-    """Groups of pictures of a dataset whose boxes match one by one (mutual containment) at least four times.
-
-    Only pictures of four boxes or more can match. Boxes are joined on class and on cells a
-    fifth of their size wide, both scales and neighbouring cells included, so near boxes meet
-    and others don't; pairs of pictures with enough meeting boxes are matched exactly.
-    """
+    """Groups of pictures of a dataset whose boxes match one by one at least four times."""
     scratch = Scratch(v.spark, "e9")
-    big = v.bx.groupBy("image_id").agg(F.count(F.lit(1)).alias("n")).where("n >= 4")
-    b = scratch.keep(v.bx.join(big, "image_id").join(v.pick().select("image_id", "dataset"), "image_id").select("image_id", "dataset", "class_id", F.col("box_ord").alias("ord"), "xc", "yc", "w", "h", G.corners(F.col("xc"), F.col("yc"), F.col("w"), F.col("h")).alias("b")))
-    level = lambda c: F.floor(F.log(F.col(c)) / F.log(F.lit(1.5))).cast("int")
-    base = b.withColumns({"lw": level("w"), "lh": level("h")})
-    around = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)))
-    scaled = base.withColumn("s", F.explode(around)).withColumns({"kw": F.col("lw") + F.col("s.i"), "kh": F.col("lh") + F.col("s.j")})
-    cell = lambda c, k, n: F.floor(F.col(c) / (F.pow(F.lit(1.5), F.col(k)) * F.lit(0.2))).cast("bigint").alias(n)
-    left = base.withColumns({"kw": F.col("lw"), "kh": F.col("lh")}).select("dataset", "class_id", "kw", "kh", F.col("image_id").alias("a"), F.col("ord").alias("i"), F.col("b").alias("ba"), cell("xc", "kw", "cx"), cell("yc", "kh", "cy"))
-    right = scaled.select("dataset", "class_id", "kw", "kh", F.col("image_id").alias("z"), F.col("ord").alias("j"), F.col("b").alias("bz"), cell("xc", "kw", "x"), cell("yc", "kh", "y"))
-    right = right.withColumn("s", F.explode(around)).select("dataset", "class_id", "kw", "kh", "z", "j", "bz", (F.col("x") + F.col("s.i")).alias("cx"), (F.col("y") + F.col("s.j")).alias("cy"))
-    near = left.join(right, ["dataset", "class_id", "kw", "kh", "cx", "cy"]).where((F.col("a") < F.col("z")) & (G.mutual_containment(F.col("ba"), F.col("bz")) >= 0.9))
-    score = G.mutual_containment(F.col("ba"), F.col("bz"))
-    lists = near.groupBy("a", "z", "class_id").agg(F.sort_array(F.collect_set(F.struct(score.alias("score"), "i", "j")), asc=False).alias("p"))
-    pairs = scratch.keep(lists.groupBy("a", "z").agg(F.sum(F.size(M.greedy_pairs(F.col("p")))).alias("n")).where("n >= 4"))
+    b = v.bx.join(v.pick().select("image_id", "dataset"), "image_id").select("image_id", "dataset", "class_id", F.col("box_ord").alias("ord"), "xc", "yc", "w", "h")
+    pairs = M.box_twins(b, scratch)
     comp = connected_components(pairs.select("a", F.col("z").alias("b")), scratch)
-    return comp.groupBy("component").agg(F.count(F.lit(1)).alias("size"), F.sort_array(F.collect_list("id")).alias("images"))
+    return comp.groupBy("component").agg(F.count(F.lit(1)).alias("size"), F.min("id").alias("first"), F.max("id").alias("last"))
 
 
 @query(f"WITH {BX}, n AS (SELECT image_id, class_id, list({{'x': xc - w / 2e0, 'o': box_ord}} ORDER BY box_ord) AS l FROM bx GROUP BY image_id, class_id) SELECT image_id, class_id, len(l) AS n, round(l[1].x, 9) AS first_x FROM n")
@@ -221,7 +204,7 @@ def j7_epochs(v: Views) -> DataFrame:
     return v.runs.groupBy("run").agg(F.count(F.lit(1)).alias("epochs"), F.count_if(F.col("map50").isNull()).alias("unfinished"))
 
 
-@query(f"WITH {BX}, {IMG}, c AS (SELECT image_id, xc, yc, w, h, (xc - w / 2e0 < -1e-4) OR (yc - h / 2e0 < -1e-4) OR (xc + w / 2e0 > 1.0001e0) OR (yc + h / 2e0 > 1.0001e0) AS o, greatest(xc - w / 2e0, 0e0) < least(xc + w / 2e0, 1e0) AND greatest(yc - h / 2e0, 0e0) < least(yc + h / 2e0, 1e0) AS some FROM bx) SELECT count_if(o AND some) AS clipped, count_if(o AND NOT some) AS removed, count(DISTINCT CASE WHEN o THEN image_id END) AS files FROM c")
+@query(f"WITH {BX}, {IMG}, c AS (SELECT image_id, xc, yc, w, h, (xc - w / 2e0 < -1e-4) OR (yc - h / 2e0 < -1e-4) OR (xc + w / 2e0 > 1.0001e0) OR (yc + h / 2e0 > 1.0001e0) AS o, greatest(xc - w / 2e0, 0e0) < least(xc + w / 2e0, 1e0) AND greatest(yc - h / 2e0, 0e0) < least(yc + h / 2e0, 1e0) AS part FROM bx) SELECT count_if(o AND part) AS clipped, count_if(o AND NOT part) AS removed, count(DISTINCT CASE WHEN o THEN image_id END) AS files FROM c")
 def k9_clip_counts(v: Views) -> DataFrame:
     """What clipping would do, without doing it."""
     c = C.clip_boxes(v.bx)

@@ -18,24 +18,36 @@ TIMED_FRAME = r"(?s)\A(.*)_f([0-9]+)_t[0-9]+(?:\.[0-9]+)?\z"
 
 def slashes(path: Column) -> Column:
     """Either kind of slash, repeated or not, as one forward slash."""
-    p = F.translate(path, "\\", "/")
-    return F.when(p.contains("//"), F.regexp_replace(p, "/+", "/")).otherwise(p)
+    p = F.when(F.contains(path, F.lit("\\")), F.replace(path, F.lit("\\"), F.lit("/"))).otherwise(path)
+    return F.when(F.contains(p, F.lit("//")), F.regexp_replace(p, "/+", "/")).otherwise(p)
+
+
+def levels(path: Column) -> Column:
+    """The last four levels of a path, `<dataset>/<split>/images/<file>`; null where the third isn't `images`."""
+    tail = F.substring_index(slashes(path), "/", -4)
+    return F.when(F.substring_index(F.substring_index(tail, "/", -2), "/", 1) == "images", tail)
+
+
+def level_dataset(tail: Column) -> Column:
+    return F.substring_index(tail, "/", 1)
+
+
+def level_split(tail: Column) -> Column:
+    return F.substring_index(F.substring_index(tail, "/", -3), "/", 1)
 
 
 def path_dataset(path: Column) -> Column:
     """`<dataset>` of `.../<dataset>/<split>/images/<file>`; null where the path ends otherwise."""
-    tail = F.substring_index(slashes(path), "/", -4)
-    return F.when(F.split_part(tail, F.lit("/"), F.lit(3)) == "images", F.substring_index(tail, "/", 1))
+    return level_dataset(levels(path))
 
 
 def path_split(path: Column) -> Column:
     """`<split>` of such a path; null where the path ends otherwise."""
-    tail = F.substring_index(slashes(path), "/", -4)
-    return F.when(F.split_part(tail, F.lit("/"), F.lit(3)) == "images", F.split_part(tail, F.lit("/"), F.lit(2)))
+    return level_split(levels(path))
 
 
 def path_file(path: Column) -> Column:
-    return F.substring_index(F.translate(path, "\\", "/"), "/", -1)
+    return F.substring_index(F.substring_index(path, "/", -1), "\\", -1)
 
 
 def split_spelling(split: Column) -> Column:

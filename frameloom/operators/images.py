@@ -18,13 +18,13 @@ def current_images(index: DataFrame, **values: Column) -> DataFrame:
     Rows of equal indexed_at: the one with the greatest values. Null image_ids are left
     out; a null indexed_at counts as earliest. Other columns are ignored.
     """
-    path = F.col("image_path")
+    tail = F.col("__levels")
     got = {
-        "dataset": F.coalesce(N.path_dataset(path), F.lower(F.trim(F.col("dataset_id")))),
-        "split": F.coalesce(N.split_spelling(N.path_split(path)), N.split_spelling(F.col("split"))),
+        "dataset": F.coalesce(N.level_dataset(tail), F.lower(F.trim(F.col("dataset_id")))),
+        "split": F.coalesce(N.split_spelling(N.level_split(tail)), N.split_spelling(F.col("split"))),
         **values,
     }
-    rows = index.where("image_id IS NOT NULL").select(F.col("image_id").cast("bigint"), F.struct(F.col("indexed_at"), *(v.alias(k) for k, v in got.items())).alias("__row"))
+    rows = index.where("image_id IS NOT NULL").withColumn("__levels", N.levels(F.col("image_path"))).select(F.col("image_id").cast("bigint"), F.struct(F.col("indexed_at"), *(v.alias(k) for k, v in got.items())).alias("__row"))
     return rows.groupBy("image_id").agg(F.max("__row").alias("__row")).select("image_id", *(F.col(f"__row.{k}").alias(k) for k in got))
 
 

@@ -240,3 +240,78 @@ def test_at_confidence(spark):
     c = spark.createDataFrame([(0, 0.9, 1.0, 0.2), (0, 0.5, 0.5, 0.6)], "class_id int, conf double, precision double, recall double")
     r = E.at_confidence(c, 0.7).first()
     assert (r.precision, r.recall) == pytest.approx((0.75, 0.4))
+
+
+def test_box_twins(spark):
+    rng = random.Random(9)
+    rows = []
+    for i in range(12):
+        for k in range(5):
+            r = random.Random(100 * (i // 3) + k)
+            x, y, w, h = r.uniform(0.2, 0.8), r.uniform(0.2, 0.8), r.uniform(0.02, 0.3), r.uniform(0.02, 0.3)
+            rows.append((i, "d", r.randrange(2), k, x + rng.uniform(-0.06, 0.06) * w, y + rng.uniform(-0.06, 0.06) * h, w * rng.uniform(0.96, 1.04), h))
+    rows.append((99, "d", 0, 0, 0.5, 0.5, 0.1, 0.1))
+    got = {(r.a, r.z, r.n) for r in M.box_twins(spark.createDataFrame(rows, "image_id bigint, dataset string, class_id int, ord int, xc double, yc double, w double, h double"), Scratch(spark, "t")).collect()}
+
+    def contained(p, q):
+        w = min(p[4] + p[6] / 2, q[4] + q[6] / 2) - max(p[4] - p[6] / 2, q[4] - q[6] / 2)
+        h = min(p[5] + p[7] / 2, q[5] + q[7] / 2) - max(p[5] - p[7] / 2, q[5] - q[7] / 2)
+        return max(w, 0) * max(h, 0) / (p[6] * p[7])
+
+    want = set()
+    for a in range(12):
+        for z in range(a + 1, 12):
+            pairs = sorted(((min(contained(p, q), contained(q, p)), p[3], q[3]) for p in rows if p[0] == a for q in rows if q[0] == z and p[2] == q[2]), reverse=True)
+            i, j, n = set(), set(), 0
+            for s_, x, y in pairs:
+                if s_ >= 0.9 and x not in i and y not in j:
+                    i.add(x)
+                    j.add(y)
+                    n += 1
+            if n >= 4:
+                want.add((a, z, n))
+    assert got == want and want
+
+
+def test_selection_marks_each_picture_once(spark, small):
+    from frameloom.catalogue.more import o3_selection
+    from frameloom.catalogue.views import Views
+
+    v = Views(spark, small)
+    got = o3_selection(v).collect()
+    assert len(got) == v.pick().count() == len({r.image_id for r in got})
+    assert {r.stage for r in got} <= {None, "cheap", "temporal", "dedup", "variety"}
+    assert all(r.excluded == (r.stage is not None) for r in got)
+
+
+def test_media_leaves(spark):
+    from frameloom.operators import media
+
+    df = spark.createDataFrame([(1, bytearray(b"ab")), (2, bytearray(b""))], "image_id bigint, content binary")
+    found = media.detect(df, lambda: lambda xs: [[(0, 0.5, 0, 0, len(x), 1)] * len(x) for x in xs])
+    assert sorted((r.image_id, r.det_ord, r.x2) for r in found.collect()) == [(1, 0, 2.0), (1, 1, 2.0)]
+    h = media.hashed(df, lambda: lambda x: (len(x), -1) if x else None)
+    assert sorted((r.image_id, r.phash) for r in h.collect()) == [(1, 2), (2, None)]
+    rows = lambda *v: F.array(*map(F.lit, v))
+    assert spark.range(1).select(media.wedge(rows(20, 30, 40, 50, 60), rows(0, 0, 0, 0, 0), F.lit(100.0)).alias("x")).first().x is True
+    assert spark.range(1).select(media.wedge(rows(20, 30), rows(0, 0), F.lit(100.0)).alias("x")).first().x is False
+
+
+def test_sinks(spark, tmp_path):
+    from frameloom.sources import sinks
+
+    df = spark.createDataFrame([("b", 2), ("a", 1)], "dataset string, n int")
+    sinks.write_list(df, F.col("dataset"), ["n"], str(tmp_path / "l"))
+    assert [r.value for r in spark.read.text(str(tmp_path / "l")).collect()] == ["a", "b"]
+    sinks.write_index(df, "dataset", str(tmp_path / "i"))
+    assert spark.read.json(str(tmp_path / "i")).count() == 2
+    sinks.write_by_dataset(df, str(tmp_path / "p"))
+    assert spark.read.parquet(str(tmp_path / "p")).where("dataset = 'a'").first().n == 1
+    names = sinks.class_map(sinks.class_map_yaml(["person", "kid's scooter"], {"train": "t"}))
+    assert names == {0: "person", 1: "kid's scooter"}
+    assert sinks.class_spec("1, person,person", names) == [1, 0]
+    for bad in ("names: {1: a}", "names: [a]\nnc: 2", "names: {a: b}", "names:"):
+        with pytest.raises(ValueError):
+            sinks.class_map(bad)
+    with pytest.raises(ValueError):
+        sinks.class_spec("car", names)
