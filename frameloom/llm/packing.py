@@ -105,7 +105,8 @@ def pack(items: DataFrame, scratch: Scratch, capacity: int = 2048, per_bucket: i
     start of some container, spread by a hash. Null sizes count as 0; rows of null id are
     left out; an empty table gives an empty result; other columns are ignored.
     """
-    given = items.where("id IS NOT NULL").select(F.col("id").cast("bigint").alias("id"), F.coalesce(F.col("size").cast("bigint"), F.lit(0)).alias("size"))
+    # Written, as sizes may be costly to find and are read twice.
+    given = scratch.keep(items.where("id IS NOT NULL").select(F.col("id").cast("bigint").alias("id"), F.coalesce(F.col("size").cast("bigint"), F.lit(0)).alias("size")))
     pieces = F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("size") - 1) / capacity).cast("bigint"))
     cut = given.where("size > 0").select("id", F.explode(pieces).alias("piece"), F.col("size").alias("whole"))
     pool = scratch.keep(cut.select("id", "piece", F.least(F.lit(capacity), F.col("whole") - F.col("piece") * capacity).cast("bigint").alias("size")))
