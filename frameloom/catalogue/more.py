@@ -176,7 +176,7 @@ def g21_share_in_range(v: Views) -> DataFrame:
     return v.bx.join(v.pick().select("image_id", "split"), "image_id").groupBy("split").agg(F.round(F.avg(F.when((a >= 0.01) & (a < 0.1), 1.0).otherwise(0.0)), 9).alias("middle"))
 
 
-@query(f"WITH {IMG} SELECT split, count(*) AS n, count_if(excluded) AS excluded, count(DISTINCT dataset) AS datasets FROM img GROUP BY split")
+@query(f"WITH {IMG} SELECT split, count(*) AS n, count(*) FILTER (excluded) AS excluded, count(DISTINCT dataset) AS datasets FROM img GROUP BY split")
 def g28_state_counts(v: Views) -> DataFrame:
     return v.pick(excluded=F.col("excluded")).groupBy("split").agg(F.count(F.lit(1)).alias("n"), F.count_if("excluded").alias("excluded"), F.countDistinct("dataset").alias("datasets"))
 
@@ -199,12 +199,12 @@ def h2_split_without_groups(v: Views) -> DataFrame:
     return ranked.join(n, "dataset").select("image_id", F.when(F.col("nth") < F.col("valid"), "valid").otherwise("train").alias("side"))
 
 
-@query(f"WITH {RUNS} SELECT run, count(*) AS epochs, count_if(map50 IS NULL) AS unfinished FROM runs GROUP BY run")
+@query(f"WITH {RUNS} SELECT run, count(*) AS epochs, count(*) FILTER (map50 IS NULL) AS unfinished FROM runs GROUP BY run")
 def j7_epochs(v: Views) -> DataFrame:
     return v.runs.groupBy("run").agg(F.count(F.lit(1)).alias("epochs"), F.count_if(F.col("map50").isNull()).alias("unfinished"))
 
 
-@query(f"WITH {BX}, {IMG}, c AS (SELECT image_id, xc, yc, w, h, (xc - w / 2e0 < -1e-4) OR (yc - h / 2e0 < -1e-4) OR (xc + w / 2e0 > 1.0001e0) OR (yc + h / 2e0 > 1.0001e0) AS o, greatest(xc - w / 2e0, 0e0) < least(xc + w / 2e0, 1e0) AND greatest(yc - h / 2e0, 0e0) < least(yc + h / 2e0, 1e0) AS part FROM bx) SELECT count_if(o AND part) AS clipped, count_if(o AND NOT part) AS removed, count(DISTINCT CASE WHEN o THEN image_id END) AS files FROM c")
+@query(f"WITH {BX}, {IMG}, c AS (SELECT image_id, xc, yc, w, h, (xc - w / 2e0 < -1e-4) OR (yc - h / 2e0 < -1e-4) OR (xc + w / 2e0 > 1.0001e0) OR (yc + h / 2e0 > 1.0001e0) AS o, greatest(xc - w / 2e0, 0e0) < least(xc + w / 2e0, 1e0) AND greatest(yc - h / 2e0, 0e0) < least(yc + h / 2e0, 1e0) AS part FROM bx) SELECT count(*) FILTER (o AND part) AS clipped, count(*) FILTER (o AND NOT part) AS removed, count(DISTINCT CASE WHEN o THEN image_id END) AS files FROM c")
 def k9_clip_counts(v: Views) -> DataFrame:
     """What clipping would do, without doing it."""
     c = C.clip_boxes(v.bx)

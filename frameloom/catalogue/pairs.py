@@ -215,7 +215,7 @@ def _hard(v: Views) -> DataFrame:
 
 
 @query(f"""WITH {IMG}, {BX}, {SB}, {DET}, b AS (SELECT a.image_id, a.ord, coalesce(max(d.conf), 0e0) AS conf FROM sb a LEFT JOIN (SELECT * FROM det WHERE class_id = 80) d ON a.image_id = d.image_id AND {iou_sql('a', 'd')} >= 5e-1 WHERE a.class_id = 80 GROUP BY a.image_id, a.ord),
-i AS (SELECT image_id, count_if(conf = 0) AS missed, count_if(conf > 0 AND conf < 25e-2) AS weak, min(conf) AS min_conf FROM b GROUP BY image_id) SELECT * FROM i ORDER BY missed DESC, weak DESC, min_conf, image_id LIMIT 300""")
+i AS (SELECT image_id, count(*) FILTER (conf = 0) AS missed, count(*) FILTER (conf > 0 AND conf < 25e-2) AS weak, min(conf) AS min_conf FROM b GROUP BY image_id) SELECT * FROM i ORDER BY missed DESC, weak DESC, min_conf, image_id LIMIT 300""")
 def f1_hard_examples(v: Views) -> DataFrame:
     """The 300 pictures with most missed, then weakest boxes."""
     return _hard(v).orderBy(F.col("missed").desc(), F.col("weak").desc(), "min_conf", "image_id").limit(300)

@@ -25,13 +25,13 @@ def _classes(v: Views) -> DataFrame:
 
 @query(f"""WITH {IMG}, {BX}, lab AS (SELECT DISTINCT image_id FROM boxes), n AS (SELECT image_id, count(*) AS n FROM bx GROUP BY image_id),
 j AS (SELECT split, coalesce(n, 0) AS n, image_id IN (SELECT image_id FROM lab) AS there FROM img LEFT JOIN n USING (image_id))
-SELECT CASE WHEN grouping(split) = 1 THEN 'TOTAL' ELSE split END AS split, count(*) AS images, count_if(n = 0) AS background, count_if(n = 0 AND NOT there) AS missing, count_if(n = 0 AND there) AS empty, sum(n)::BIGINT AS instances, max(n) AS max_instances, round(avg(n), 9) AS mean_instances
+SELECT CASE WHEN grouping(split) = 1 THEN 'TOTAL' ELSE split END AS split, count(*) AS images, count(*) FILTER (n = 0) AS background, count(*) FILTER (n = 0 AND NOT there) AS missing, count(*) FILTER (n = 0 AND there) AS empty, sum(n)::BIGINT AS instances, max(n) AS max_instances, round(avg(n), 9) AS mean_instances
 FROM j GROUP BY ROLLUP (split)""")
 def g1_split_summary(v: Views) -> DataFrame:
     return S.split_summary(v.pick(), v.bx, v.table("boxes")).withColumn("mean_instances", F.round("mean_instances", 9))
 
 
-@query(f"""WITH {IMG}, {BX}, {CLASSES_SQL}, j AS (SELECT class_id, split, image_id FROM bx JOIN img USING (image_id)), p AS (SELECT class_id, count(*) AS n, count(DISTINCT image_id) AS i, count_if(split = 'train') AS t, count_if(split = 'valid') AS va, count_if(split = 'test') AS te FROM j GROUP BY class_id)
+@query(f"""WITH {IMG}, {BX}, {CLASSES_SQL}, j AS (SELECT class_id, split, image_id FROM bx JOIN img USING (image_id)), p AS (SELECT class_id, count(*) AS n, count(DISTINCT image_id) AS i, count(*) FILTER (split = 'train') AS t, count(*) FILTER (split = 'valid') AS va, count(*) FILTER (split = 'test') AS te FROM j GROUP BY class_id)
 SELECT class_id, name, coalesce(n, 0) AS instances, coalesce(i, 0) AS class_images, coalesce(t, 0) AS instances_train, coalesce(va, 0) AS instances_valid, coalesce(te, 0) AS instances_test, round(coalesce(1e2 * n / sum(n) OVER (), 0e0), 9) AS percent FROM classes LEFT JOIN p USING (class_id)""")
 def g2_class_report(v: Views) -> DataFrame:
     return S.class_report(v.pick(), v.bx, _classes(v)).withColumn("percent", F.round("percent", 9))
@@ -60,7 +60,7 @@ def g6_subset_report(v: Views) -> DataFrame:
 
 
 @query(f"""WITH {IMG}, r AS (SELECT dataset, split, excluded, stage, CASE WHEN excluded THEN coalesce(nullif(stage, ''), '(no stage)') END AS criterion FROM img)
-SELECT stage, criterion, dataset, split, grouping(stage) * 8 + grouping(criterion) * 4 + grouping(dataset) * 2 + grouping(split) AS level, count(*) AS n, count_if(excluded) AS n_excluded, count_if(NOT coalesce(excluded, FALSE)) AS n_kept
+SELECT stage, criterion, dataset, split, (grouping(stage) * 8 + grouping(criterion) * 4 + grouping(dataset) * 2 + grouping(split))::INT AS level, count(*) AS n, count(*) FILTER (excluded) AS n_excluded, count(*) FILTER (NOT coalesce(excluded, FALSE)) AS n_kept
 FROM r GROUP BY GROUPING SETS ((stage), (criterion), (dataset, criterion), (dataset), (split), ())""")
 def g9_index_report(v: Views) -> DataFrame:
     img = v.pick(excluded=F.col("excluded"), stage=F.col("exclusion_stage"))
@@ -119,21 +119,21 @@ _P5 = (0.05, 0.25, 0.5, 0.75, 0.95)
 
 
 @query(f"""WITH {IMG}, {BX}, t AS (SELECT * FROM bx WHERE class_id = 80), n AS (SELECT image_id, count(*) AS n FROM t GROUP BY image_id), p AS (SELECT split, coalesce(n, 0) AS n FROM img LEFT JOIN n USING (image_id)),
-c AS (SELECT split, count(*) AS images, count_if(n > 0) AS with_target, sum(n)::BIGINT AS instances, {', '.join(f'count_if(n {"=" if i < 5 else ">="} {i}) AS n_{i}' for i in range(6))} FROM p GROUP BY split),
+c AS (SELECT split, count(*) AS images, count(*) FILTER (n > 0) AS with_target, sum(n)::BIGINT AS instances, {', '.join(f'count(*) FILTER (n {"=" if i < 5 else ">="} {i}) AS n_{i}' for i in range(6))} FROM p GROUP BY split),
 z AS (SELECT split, w * h * 1e2 AS a, greatest(w, h) AS l, w * width * h * height AS px FROM img JOIN t USING (image_id)),
-s AS (SELECT split, {_q('a', 'area', _P5)}, {_q('l', 'side', _P5)}, count_if(px < 1024) AS small, count_if(px >= 1024 AND px < 9216) AS medium, count_if(px >= 9216) AS large FROM z GROUP BY split)
+s AS (SELECT split, {_q('a', 'area', _P5)}, {_q('l', 'side', _P5)}, count(*) FILTER (px < 1024) AS small, count(*) FILTER (px >= 1024 AND px < 9216) AS medium, count(*) FILTER (px >= 9216) AS large FROM z GROUP BY split)
 SELECT * FROM c LEFT JOIN s USING (split)""")
 def g19_split_stats(v: Views) -> DataFrame:
     return S.split_stats(v.pick(width=F.col("width"), height=F.col("height")), v.bx)
 
 
-@query(f"""WITH {IMG}, {BX}, {SB}, {DET} SELECT class_id, count_if(conf >= 45e-2) AS kept, count_if(conf < 45e-2) AS dropped, round(avg(conf), 9) AS mean_conf FROM det GROUP BY class_id""")
+@query(f"""WITH {IMG}, {BX}, {SB}, {DET} SELECT class_id, count(*) FILTER (conf >= 45e-2) AS kept, count(*) FILTER (conf < 45e-2) AS dropped, round(avg(conf), 9) AS mean_conf FROM det GROUP BY class_id""")
 def g22_detection_totals(v: Views) -> DataFrame:
     return v.det.groupBy("class_id").agg(F.count_if(F.col("conf") >= 0.45).alias("kept"), F.count_if(F.col("conf") < 0.45).alias("dropped"), F.round(F.avg("conf"), 9).alias("mean_conf"))
 
 
 @query(f"""WITH {LOG}, items AS (SELECT DISTINCT 'picture_' || user_id AS name, 'ds' || (user_id % 7) AS dataset FROM events)
-SELECT dataset, count_if(decision = 'select') AS n_select, count_if(decision = 'discard') AS n_discard, count_if(coalesce(decision, '') NOT IN ('select', 'discard')) AS n_todo, count(*) AS n FROM items LEFT JOIN decided USING (name) GROUP BY dataset""")
+SELECT dataset, count(*) FILTER (decision = 'select') AS n_select, count(*) FILTER (decision = 'discard') AS n_discard, count(*) FILTER (coalesce(decision, '') NOT IN ('select', 'discard')) AS n_todo, count(*) AS n FROM items LEFT JOIN decided USING (name) GROUP BY dataset""")
 def g23_review_counts(v: Views) -> DataFrame:
     items = v.table("events").select(F.concat(F.lit("picture_"), F.col("user_id")).alias("name"), F.concat(F.lit("ds"), F.col("user_id") % 7).alias("dataset")).distinct()
     return R.review_counts(items, R.current_decisions(v.decisions), ["dataset"])
@@ -205,7 +205,7 @@ def i2_average_precision(v: Views) -> DataFrame:
 
 
 @query(f"""WITH {IMG}, {BX}, {SB}, {DET}, b AS (SELECT a.split, a.image_id, a.ord, coalesce(max(d.conf), 0e0) AS conf FROM sb a LEFT JOIN (SELECT * FROM det WHERE class_id = 80) d ON a.image_id = d.image_id AND {iou_sql('a', 'd')} >= 5e-1 WHERE a.class_id = 80 GROUP BY ALL)
-SELECT count_if(conf = 0) AS missed, count_if(conf > 0 AND conf < 25e-2) AS weak, count_if(conf >= 25e-2) AS ok, round(count_if(conf > 0) / greatest(count(*), 1), 9) AS recall FROM b""")
+SELECT count(*) FILTER (conf = 0) AS missed, count(*) FILTER (conf > 0 AND conf < 25e-2) AS weak, count(*) FILTER (conf >= 25e-2) AS ok, round(count(*) FILTER (conf > 0) / greatest(count(*), 1), 9) AS recall FROM b""")
 def i3_mining_totals(v: Views) -> DataFrame:
     b = M.best_confidence(v.sb.where("class_id = 80").select("image_id", "ord", "b"), v.det.where("class_id = 80"))
     n = lambda s: F.count_if(F.col("status") == s)
@@ -270,10 +270,10 @@ def k10_hit_test(v: Views) -> DataFrame:
     return R.hit_box(v.sb, 320, 240).withColumn("area", F.round("area", 6))
 
 
-@query(f"WITH {IMG}, {BX}, c AS (SELECT split, class_id, count(*) AS n FROM bx JOIN img USING (image_id) GROUP BY ALL) SELECT split, list_sort(list(class_id)) AS classes, sum(n)::BIGINT AS n FROM c GROUP BY split")
+@query(f"WITH {IMG}, {BX}, c AS (SELECT split, class_id, count(*) AS n FROM bx JOIN img USING (image_id) GROUP BY ALL) SELECT split, array_to_string(list_sort(list(class_id)), ',') AS classes, sum(n)::BIGINT AS n FROM c GROUP BY split")
 def k5_split_state(v: Views) -> DataFrame:
     c = v.bx.join(v.pick(), "image_id").groupBy("split", "class_id").agg(F.count(F.lit(1)).alias("n"))
-    return c.groupBy("split").agg(F.sort_array(F.collect_list("class_id")).alias("classes"), F.sum("n").cast("bigint").alias("n"))
+    return c.groupBy("split").agg(F.array_join(F.sort_array(F.collect_list("class_id")).cast("array<string>"), ",").alias("classes"), F.sum("n").cast("bigint").alias("n"))
 
 
 def _stream_dir(v: Views, name: str) -> str:

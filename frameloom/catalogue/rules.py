@@ -37,7 +37,7 @@ def a2_label_boxes_tolerant(v: Views) -> DataFrame:
     return L.parse_boxes(_lines(v), ["image_id"], "tolerant")
 
 
-@query(f"WITH {BX} SELECT image_id, count(*) AS n_lines, count_if(box_ord % 10 = 8) AS n_errors, min(CASE WHEN box_ord % 10 = 8 THEN image_id || ':' || (box_ord + 1) END) AS first_error FROM bx GROUP BY image_id")
+@query(f"WITH {BX} SELECT image_id, count(*) AS n_lines, count(*) FILTER (box_ord % 10 = 8) AS n_errors, min(CASE WHEN box_ord % 10 = 8 THEN image_id || ':' || (box_ord + 1) END) AS first_error FROM bx GROUP BY image_id")
 def a5_label_errors(v: Views) -> DataFrame:
     return L.parse_boxes(_lines(v), ["image_id"], "strict").groupBy("image_id").agg(F.count(F.lit(1)).alias("n_lines"), F.count("error").alias("n_errors"), F.min("error").alias("first_error"))
 
@@ -47,7 +47,7 @@ def a6_class_histogram(v: Views) -> DataFrame:
     return v.bx.groupBy("image_id", "class_id").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query(f"""WITH {IMG}, {BX}, n AS (SELECT image_id, count_if(class_id = 80) AS n_areas, sum(CASE WHEN class_id = 80 THEN w * h ELSE 0e0 END) AS area FROM bx GROUP BY image_id)
+@query(f"""WITH {IMG}, {BX}, n AS (SELECT image_id, count(*) FILTER (class_id = 80) AS n_areas, sum(CASE WHEN class_id = 80 THEN w * h ELSE 0e0 END) AS area FROM bx GROUP BY image_id)
 SELECT image_id, n_areas, round(area, 12) AS area FROM img LEFT JOIN n USING (image_id)""")
 def a7_target_areas(v: Views) -> DataFrame:
     """Null for pictures without labels, 0 for those with labels of other classes only."""
@@ -56,9 +56,9 @@ def a7_target_areas(v: Views) -> DataFrame:
     return v.pick().select("image_id").join(n, "image_id", "left")
 
 
-@query(f"WITH {BX} SELECT class_id, image_id, list_sort(list(box_ord)) AS ords FROM bx WHERE class_id {LISTED} GROUP BY class_id, image_id")
+@query(f"WITH {BX} SELECT class_id, image_id, array_to_string(list_sort(list(box_ord)), ',') AS ords FROM bx WHERE class_id {LISTED} GROUP BY class_id, image_id")
 def a8_boxes_by_picture(v: Views) -> DataFrame:
-    return v.bx.where(f"class_id {LISTED}").groupBy("class_id", "image_id").agg(F.sort_array(F.collect_list("box_ord")).alias("ords"))
+    return v.bx.where(f"class_id {LISTED}").groupBy("class_id", "image_id").agg(F.array_join(F.sort_array(F.collect_list("box_ord")).cast("array<string>"), ",").alias("ords"))
 
 
 @query("SELECT row_number() OVER (ORDER BY project_id, version, workspace_id, enabled, download, notes) AS line_no, CASE WHEN contains(coalesce(notes, ''), 'footage') THEN 'line ' || line_no || ': 4 fields, 3 wanted' END AS error FROM datasets_to_download")
@@ -87,7 +87,7 @@ def a24_index_upsert(v: Views) -> DataFrame:
     return C.upsert(old, new, "id", ["note"])
 
 
-@query(f"WITH {IMG} SELECT dataset, count_if(split = 'train') AS train, count_if(split = 'valid') AS valid, count_if(split = 'test') AS test FROM img GROUP BY dataset")
+@query(f"WITH {IMG} SELECT dataset, count(*) FILTER (split = 'train') AS train, count(*) FILTER (split = 'valid') AS valid, count(*) FILTER (split = 'test') AS test FROM img GROUP BY dataset")
 def a25_split_counts(v: Views) -> DataFrame:
     return v.pick().groupBy("dataset").agg(*(F.count_if(F.col("split") == s).alias(s) for s in ("train", "valid", "test")))
 
@@ -195,20 +195,20 @@ def b14_remap_classes(v: Views) -> DataFrame:
     return C.remap_classes(v.bx, [80, 0, 2]).select("image_id", "box_ord", "class_id")
 
 
-@query(f"WITH {BX} SELECT image_id, count_if(class_id = 80) AS n_target, count_if(class_id <> 80) AS n_ignored FROM bx GROUP BY image_id")
+@query(f"WITH {BX} SELECT image_id, count(*) FILTER (class_id = 80) AS n_target, count(*) FILTER (class_id <> 80) AS n_ignored FROM bx GROUP BY image_id")
 def b16_target_only(v: Views) -> DataFrame:
     return v.bx.groupBy("image_id").agg(F.count_if(F.col("class_id") == 80).alias("n_target"), F.count_if(F.col("class_id") != 80).alias("n_ignored"))
 
 
-@query(f"WITH {BX} SELECT image_id, count_if(box_ord % 10 <> 9) AS five, count_if(box_ord % 10 = 9) AS more, CASE WHEN five > 0 AND more > 0 THEN 'mixed' WHEN five > 0 THEN 'bbox' ELSE 'polygon' END AS format FROM bx GROUP BY image_id")
+@query(f"WITH {BX} SELECT image_id, count(*) FILTER (box_ord % 10 <> 9) AS five, count(*) FILTER (box_ord % 10 = 9) AS more, CASE WHEN five > 0 AND more > 0 THEN 'mixed' WHEN five > 0 THEN 'bbox' ELSE 'polygon' END AS format FROM bx GROUP BY image_id")
 def b18_annotation_format(v: Views) -> DataFrame:
     return C.annotation_format(_lines(v), "image_id")
 
 
-@query(f"WITH {CAT} SELECT dataset, list_sort(list_distinct(list_filter(class_names, lambda x: x NOT IN ('kick scooter', '12')))) AS extra, list_sort(list_filter(['kick scooter', '12'], lambda x: NOT list_contains(class_names, x))) AS missing FROM cat WHERE class_names IS NOT NULL")
+@query(f"WITH {CAT} SELECT dataset, array_to_string(list_sort(list_distinct(list_filter(class_names, lambda x: x NOT IN ('kick scooter', '12')))), '|') AS extra, array_to_string(list_sort(list_filter(['kick scooter', '12'], lambda x: NOT list_contains(class_names, x))), '|') AS missing FROM cat WHERE class_names IS NOT NULL")
 def b19_missing_names(v: Views) -> DataFrame:
     wanted = F.array(F.lit("kick scooter"), F.lit("12"))
-    return v.cat.where("class_names IS NOT NULL").select("dataset", F.sort_array(C.missing_names(F.col("class_names"), wanted)).alias("extra"), F.sort_array(C.missing_names(wanted, F.col("class_names"))).alias("missing"))
+    return v.cat.where("class_names IS NOT NULL").select("dataset", F.array_join(F.sort_array(C.missing_names(F.col("class_names"), wanted)), "|").alias("extra"), F.array_join(F.sort_array(C.missing_names(wanted, F.col("class_names"))), "|").alias("missing"))
 
 
 @query(f"WITH {CAT} SELECT DISTINCT dataset, workspace_id FROM cat WHERE enabled AND download")
@@ -306,7 +306,7 @@ def c28_class_similarity(v: Views) -> DataFrame:
     return j.groupBy("image_id").agg((F.sum(F.least("x", "y")) / F.nullif(F.sum(F.greatest("x", "y")), F.lit(0))).alias("similarity"))
 
 
-@query(f"""WITH {IMG} SELECT dataset, count(*) AS n, count_if(width > 0 AND height > 0) AS sized FROM img GROUP BY dataset""")
+@query(f"""WITH {IMG} SELECT dataset, count(*) AS n, count(*) FILTER (width > 0 AND height > 0) AS sized FROM img GROUP BY dataset""")
 def b5_provenance(v: Views) -> DataFrame:
     return v.pick(width=F.col("width"), height=F.col("height")).groupBy("dataset").agg(F.count(F.lit(1)).alias("n"), F.count_if((F.col("width") > 0) & (F.col("height") > 0)).alias("sized"))
 
