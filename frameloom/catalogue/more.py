@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from frameloom.catalogue.registry import QUERIES, query
-from frameloom.catalogue.views import BX, CAT, DET, EFF, H, IMG, LOG, RUNS, SB, Views, containment_sql
+from frameloom.catalogue.views import BX, CAT, DET, EFF, H, IMG, LOG, RUNS, SB, Views, containment_sql, iou_sql
 from frameloom.functions import geometry as G
 from frameloom.functions import names as N
 from frameloom.functions import text as T
@@ -132,6 +132,25 @@ def e15_ordered_distinct(v: Views) -> DataFrame:
     return v.table("events").groupBy(F.concat(F.lit("picture_"), F.col("user_id")).alias("path")).agg(F.min("event_id").alias("ord"))
 
 
+_TOP = "top AS (SELECT image_id, class_id, arg_max(box_ord, (CASE WHEN box_ord % 3 = 1 THEN 5e-1 ELSE -1e0 END, w * h, -box_ord)) AS top FROM bx GROUP BY ALL)"
+
+
+@query(f"""WITH {IMG}, {BX}, {_TOP}, k AS (SELECT image_id, array_to_string(list_sort(list(DISTINCT class_id)), ',') AS classes FROM bx GROUP BY image_id),
+q AS (SELECT bx.*, split, classes, xc - w / 2e0 AS x1, yc - h / 2e0 AS y1, xc + w / 2e0 AS x2, yc + h / 2e0 AS y2 FROM bx JOIN img USING (image_id) JOIN k USING (image_id)),
+r AS (SELECT q.image_id, classes, class_id, FALSE AS mirrored, x1, y1, x2, y2 FROM q JOIN top USING (image_id, class_id) WHERE box_ord = top AND split = 'valid'),
+r2 AS (SELECT * FROM r UNION ALL SELECT image_id, classes, class_id, TRUE, 1e0 - x2, y1, 1e0 - x1, y2 FROM r),
+m AS (SELECT r2.image_id AS a, t.image_id AS b, mirrored, r2.class_id, max({iou_sql('r2', 't')}) AS s FROM r2 JOIN (SELECT * FROM q WHERE split = 'train') t USING (classes, class_id) GROUP BY ALL HAVING s >= 9e-1),
+n AS (SELECT a, b, mirrored, count(*) AS n, sum(s) AS total FROM m GROUP BY ALL), o AS (SELECT a, b, arg_max({{'n': n, 't': total, 'm': mirrored}}, (n, total, NOT mirrored)) AS x FROM n GROUP BY a, b)
+SELECT a, b, x.n AS overlaps, round(x.t / x.n, 6) AS iou FROM o""")
+def e13_signature_overlaps(v: Views) -> DataFrame:
+    """Valid and train pictures of equal class sets whose main boxes lie alike, straight or mirrored."""
+    conf = F.when(F.col("box_ord") % 3 == 1, 0.5).otherwise(-1.0)
+    b = v.bx.join(v.pick().select("image_id", "split"), "image_id")
+    top = v.bx.groupBy("image_id", "class_id").agg(F.max_by("box_ord", F.struct(conf, F.col("w") * F.col("h"), -F.col("box_ord"))).alias("t"))
+    b = b.join(top, ["image_id", "class_id"]).withColumns({"top": F.col("box_ord") == F.col("t"), "ord": F.col("box_ord")})
+    return M.signature_overlaps(b.where("split = 'valid'"), b.where("split = 'train'")).select("a", "b", "overlaps", F.round("iou", 6).alias("iou"))
+
+
 @query()
 def e8_duplicate_counts(v: Views) -> DataFrame:
     """Per dataset how many pictures are excluded as duplicates, of how many."""

@@ -315,3 +315,91 @@ def test_sinks(spark, tmp_path):
             sinks.class_map(bad)
     with pytest.raises(ValueError):
         sinks.class_spec("car", names)
+
+
+@pytest.mark.parametrize("all_boxes", [False, True])
+def test_signature_overlaps(spark, all_boxes):
+    rng = random.Random(11)
+    base = [[(rng.randrange(2), rng.uniform(0.2, 0.8), rng.uniform(0.2, 0.8), rng.uniform(0.1, 0.3), rng.uniform(0.1, 0.3)) for _ in range(3)] for _ in range(4)]
+    rows = []
+    for i in range(24):
+        for k, (c, x, y, w, h) in enumerate(base[i % 4]):
+            x = 1 - x if i % 3 == 0 else x
+            rows.append((i, c, k, x + rng.uniform(-0.03, 0.03) * w, y, w * rng.uniform(0.97, 1.03), h, k == min(j for j, b in enumerate(base[i % 4]) if b[0] == c)))
+    df = spark.createDataFrame(rows, "image_id bigint, class_id int, ord int, xc double, yc double, w double, h double, top boolean")
+    got = {(r.a, r.b): (r.overlaps, round(r.iou, 9), r.mirrored) for r in M.signature_overlaps(df.where("image_id < 12"), df.where("image_id >= 12"), 0.1, all_boxes).collect()}
+
+    def iou(p, q):
+        w = min(p[2], q[2]) - max(p[0], q[0])
+        h = min(p[3], q[3]) - max(p[1], q[1])
+        both = max(w, 0) * max(h, 0)
+        return both / ((p[2] - p[0]) * (p[3] - p[1]) + (q[2] - q[0]) * (q[3] - q[1]) - both)
+
+    box = lambda r, m: ((1 - r[3] if m else r[3]) - r[5] / 2, r[4] - r[6] / 2, (1 - r[3] if m else r[3]) + r[5] / 2, r[4] + r[6] / 2)
+    want = {}
+    for a in range(12):
+        for b in range(12, 24):
+            mine, theirs = [r for r in rows if r[0] == a], [r for r in rows if r[0] == b]
+            if {r[1] for r in mine} != {r[1] for r in theirs}:
+                continue
+            best = None
+            for m in (False, True):
+                n, total = 0, 0.0
+                for c in {r[1] for r in mine}:
+                    i_used, j_used = set(), set()
+                    for s_, i, j in sorted(((iou(box(p, m), box(q, False)), p[2], q[2]) for p in mine if p[1] == c and (all_boxes or p[7]) for q in theirs if q[1] == c), reverse=True):
+                        if s_ < 0.9:
+                            break
+                        if i in i_used or (all_boxes and j in j_used):
+                            continue
+                        i_used.add(i)
+                        j_used.add(j)
+                        n, total = n + 1, total + s_
+                if n and (best is None or (n, total) > best[:2]):
+                    best = (n, total, m)
+            if best:
+                want[a, b] = (best[0], round(best[1] / best[0], 9), best[2])
+    assert got == want and want
+
+
+def test_idle_runs(spark):
+    from frameloom.streaming.ingest import idle_runs
+
+    rows = [("a", "2024-01-01 00:00:00", 1), ("a", "2024-01-01 00:03:00", 2), ("a", "2024-01-01 00:20:00", 3)]
+    df = spark.createDataFrame(rows, "run string, at string, epoch int").withColumn("at", F.col("at").cast("timestamp"))
+    assert sorted((r.last_epoch, r.n) for r in idle_runs(df).collect()) == [(2, 2), (3, 1)]
+
+
+def test_dataset_scan(spark, tmp_path):
+    from frameloom.sources.images import list_images, scan_dataset, sha256
+
+    for split, names in {"train": ("a", "b", "c"), "valid": ("d",)}.items():
+        for kind in ("images", "labels"):
+            (tmp_path / f"ds-v1/{split}/{kind}").mkdir(parents=True)
+        for n in names:
+            (tmp_path / f"ds-v1/{split}/images/{n}.jpg").write_bytes(b"x")
+    (tmp_path / "ds-v1/train/labels/a.txt").write_text("80 .5 .5 .1 .1\n0 .5 .5 .1 .1\n")
+    (tmp_path / "ds-v1/train/labels/b.txt").write_text("")
+    images, boxes = scan_dataset(spark, str(tmp_path))
+    got = {r.file: (r.dataset, r.split, r.has_label) for r in images.collect()}
+    assert got == {"a.jpg": ("ds-v1", "train", True), "b.jpg": ("ds-v1", "train", True), "c.jpg": ("ds-v1", "train", False), "d.jpg": ("ds-v1", "valid", False)}
+    assert sorted(r.class_id for r in boxes.collect()) == [0, 80]
+    assert all(r.path.endswith("train/images/a.jpg") for r in boxes.collect())
+    with pytest.raises(FileNotFoundError):
+        list_images(spark, str(tmp_path / "ds-v1/train/labels"), must_exist=True)
+    assert len(sha256(spark, str(tmp_path / "ds-v1/train/images/a.jpg")).first().sha256) == 64
+
+
+def test_split_summary_of_the_fixture(spark):
+    from frameloom.operators.stats import class_report, split_summary
+
+    images = spark.createDataFrame([("train", 1), ("train", 2), ("train", 3), ("train", 4)], "split string, image_id bigint")
+    boxes = spark.createDataFrame([(1, 1), (1, 1), (2, 0)], "image_id bigint, class_id int")
+    labels = spark.createDataFrame([(1,), (2,), (3,)], "image_id bigint")
+    r = {r.split: r for r in split_summary(images, boxes, labels).collect()}["TOTAL"]
+    assert (r.images, r.background, r.missing, r["empty"], r.instances, r.max_instances) == (4, 2, 1, 1, 3, 2)
+    classes = spark.createDataFrame([(0, "person"), (1, "scooter"), (2, "unused")], "class_id int, name string")
+    got = {x.class_id: (x.instances, x.class_images) for x in class_report(images, boxes, classes).collect()}
+    assert got == {0: (1, 1), 1: (2, 1), 2: (0, 0)}
+    bag = spark.createDataFrame([("train", 1), ("train", 1), ("valid", 1)], "split string, image_id bigint")
+    assert {r.split: r.instances for r in split_summary(bag, boxes).collect()} == {"train": 4, "valid": 2, "TOTAL": 6}
