@@ -278,10 +278,13 @@ def m4_sampled_frames(v: Views) -> DataFrame:
 
 @query(f"WITH {IMG}, r AS (SELECT image_id, dataset, row_number() OVER (PARTITION BY dataset ORDER BY image_id) - 1 AS r, count(*) OVER (PARTITION BY dataset) AS n FROM img WHERE split = 'test') SELECT image_id, (r // 6)::INT AS sheet_row, (r % 6)::INT AS sheet_column, (ceil(n / 6e0) * 6)::BIGINT AS cells FROM r")
 def m6_contact_sheets(v: Views) -> DataFrame:
-    w = Window.partitionBy("dataset")
-    r = v.pick().where("split = 'test'").withColumns({"r": F.row_number().over(w.orderBy("image_id")) - 1, "n": F.count(F.lit(1)).over(w)})
+    """Places on contact sheets of six columns, one sheet per dataset; ranks are counted across range partitions."""
+    from frameloom.plans.ranks import rank_in_groups
+
+    t = v.pick().where("split = 'test'").select("image_id", "dataset")
+    ranked = rank_in_groups(t, ["dataset"], ["image_id"], Scratch(v.spark, "m6"), "r")
     row, column = media.sheet_positions(F.col("r"), 6)
-    return r.select("image_id", row.alias("sheet_row"), column.alias("sheet_column"), media.sheet_cells(F.col("n"), 6).alias("cells"))
+    return ranked.join(t.groupBy("dataset").agg(F.count(F.lit(1)).alias("n")), "dataset").select("image_id", row.alias("sheet_row"), column.alias("sheet_column"), media.sheet_cells(F.col("n"), 6).alias("cells"))
 
 
 @query()

@@ -16,6 +16,7 @@ from frameloom.operators.graph import connected_components
 from frameloom.operators.sampling import in_all, related_groups
 from frameloom.operators.sequences import selected_frames, thin_clips
 from frameloom.operators.similarity import hamming_cross_pairs, hamming_links, hamming_self_pairs, nearest
+from frameloom.plans.ranks import rank_in_groups
 from frameloom.plans.scratch import Scratch
 
 COMPONENTS = """
@@ -81,17 +82,31 @@ def _limited(v: Views) -> DataFrame:
     return v.pick().join(v.h, "image_id").where("phash IS NOT NULL").join(most, "dataset", "left").select(F.col("image_id").alias("id"), "phash", "dataset", F.least(F.coalesce("most", F.lit(8)), F.lit(8)).alias("most"))
 
 
-@query(f"WITH {_LIMITED} SELECT x.image_id AS a, y.image_id AS b, bit_count(xor(x.phash, y.phash))::INT AS distance FROM l x JOIN l y ON x.image_id < y.image_id AND bit_count(xor(x.phash, y.phash)) <= least(x.most, y.most)")
+@query(f"""WITH {_LIMITED}, r AS (SELECT min(image_id) AS id, phash, most FROM l GROUP BY phash, most)
+SELECT x.id AS a, y.id AS b, bit_count(xor(x.phash, y.phash))::INT AS distance FROM r x JOIN r y ON x.id < y.id AND bit_count(xor(x.phash, y.phash)) <= least(x.most, y.most)""")
 def d13_hamming_pairs(v: Views) -> DataFrame:
-    return hamming_self_pairs(_limited(v), Scratch(v.spark, "d13"), 8, limit="most")
+    """Near pairs between representatives: the least picture of each hash and limit; d13_hash_copies has the others."""
+    first = _limited(v).groupBy("phash", "most").agg(F.min("id").alias("id"))
+    return hamming_self_pairs(first, Scratch(v.spark, "d13"), 8, limit="most")
 
 
-@query(f"""WITH {IMG}, {H}, v AS (SELECT image_id, phash FROM img JOIN hs USING (image_id) WHERE split = 'valid' AND phash IS NOT NULL), t AS (SELECT image_id, phash, phash_mirror FROM img JOIN hs USING (image_id) WHERE split = 'train' AND phash IS NOT NULL AND phash_mirror IS NOT NULL),
-j AS (SELECT v.image_id AS a, t.image_id AS b, bit_count(xor(v.phash, t.phash)) AS s, bit_count(xor(v.phash, t.phash_mirror)) AS m FROM v, t)
+@query(f"WITH {_LIMITED} SELECT image_id, min(image_id) OVER (PARTITION BY phash, most) AS representative FROM l")
+def d13_hash_copies(v: Views) -> DataFrame:
+    rows = _limited(v)
+    first = rows.groupBy("phash", "most").agg(F.min("id").alias("representative"))
+    return rows.join(first, ["phash", "most"]).select(F.col("id").alias("image_id"), "representative")
+
+
+@query(f"""WITH {IMG}, {H}, v AS (SELECT min(image_id) AS id, phash FROM img JOIN hs USING (image_id) WHERE split = 'valid' AND phash IS NOT NULL GROUP BY phash),
+t AS (SELECT min(image_id) AS id, phash, phash_mirror FROM img JOIN hs USING (image_id) WHERE split = 'train' AND phash IS NOT NULL AND phash_mirror IS NOT NULL GROUP BY phash, phash_mirror),
+j AS (SELECT v.id AS a, t.id AS b, bit_count(xor(v.phash, t.phash)) AS s, bit_count(xor(v.phash, t.phash_mirror)) AS m FROM v, t)
 SELECT a, b, least(s, m)::INT AS distance, m < s AS mirrored FROM j WHERE least(s, m) <= 6""")
 def d14_cross_pairs(v: Views) -> DataFrame:
-    j = v.pick().join(v.h, "image_id").withColumnRenamed("image_id", "id")
-    return hamming_cross_pairs(j.where("split = 'valid'"), j.where("split = 'train'"), Scratch(v.spark, "d14"), 6)
+    """Near pairs of valid and train pictures, between the least pictures of equal hashes on either side."""
+    j = v.pick().join(v.h, "image_id")
+    a = j.where("split = 'valid' AND phash IS NOT NULL").groupBy("phash").agg(F.min("image_id").alias("id"))
+    b = j.where("split = 'train' AND phash IS NOT NULL AND phash_mirror IS NOT NULL").groupBy("phash", "phash_mirror").agg(F.min("image_id").alias("id"))
+    return hamming_cross_pairs(a, b, Scratch(v.spark, "d14"), 6)
 
 
 @query(f"""WITH {IMG}, {H}, l AS (SELECT image_id, phash FROM img JOIN hs USING (image_id) WHERE split = 'test' AND phash IS NOT NULL), p AS (SELECT dataset || '/' || file AS name, phash FROM img JOIN hs USING (image_id) WHERE split = 'train' AND phash IS NOT NULL),
@@ -187,20 +202,27 @@ def e11_signatures(v: Views) -> DataFrame:
 
 
 @query(f"""WITH {IMG}, {H}, v AS (SELECT image_id, base, phash FROM img JOIN hs USING (image_id) WHERE split = 'valid'), t AS (SELECT image_id, base, phash, phash_mirror FROM img JOIN hs USING (image_id) WHERE split = 'train'),
-j AS (SELECT v.image_id AS a, t.image_id AS b, least(bit_count(xor(v.phash, t.phash)), bit_count(xor(v.phash, t.phash_mirror))) AS d, v.base = t.base AS same FROM v, t WHERE v.phash IS NOT NULL AND t.phash IS NOT NULL AND t.phash_mirror IS NOT NULL AND (d <= 6 OR v.base = t.base)),
+j AS (SELECT v.image_id AS a, t.image_id AS b, least(bit_count(xor(v.phash, t.phash)), bit_count(xor(v.phash, t.phash_mirror))) AS d FROM v, t WHERE v.phash IS NOT NULL AND t.phash IS NOT NULL AND t.phash_mirror IS NOT NULL AND d <= 6),
 r AS (SELECT *, row_number() OVER (PARTITION BY a ORDER BY d, b) AS r, count(*) OVER (PARTITION BY a) AS n FROM j)
-SELECT a, b, d::INT AS distance, same, r::INT AS rank, greatest(n - 12, 0) AS extra FROM r WHERE r <= 12""")
+SELECT a, b, d::INT AS distance, r::INT AS rank, greatest(n - 12, 0) AS extra FROM r WHERE r <= 12""")
 def e12_suspicious_groups(v: Views) -> DataFrame:
-    """Of each valid picture the 12 nearest of train, by hash or of the same base name, and how many more there are."""
-    j = v.img.select("image_id", "split", "base").join(v.h, "image_id")
-    a, b = j.where("split = 'valid' AND phash IS NOT NULL"), j.where("split = 'train' AND phash IS NOT NULL AND phash_mirror IS NOT NULL")
-    near = hamming_cross_pairs(a.withColumnRenamed("image_id", "id"), b.withColumnRenamed("image_id", "id"), Scratch(v.spark, "e12"), 6).select("a", "b", "distance")
-    l, r = a.select(F.col("image_id").alias("a"), "base", F.col("phash").alias("pa")), b.select(F.col("image_id").alias("b"), F.col("base").alias("bb"), F.col("phash").alias("pb"), F.col("phash_mirror").alias("mb"))  # noqa: E741
-    named = l.join(r, F.col("base") == F.col("bb")).select("a", "b", F.least(G.hamming(F.col("pa"), F.col("pb")), G.hamming(F.col("pa"), F.col("mb"))).alias("distance"), F.lit(True).alias("same"))
-    both = near.withColumn("same", F.lit(False)).unionByName(named).groupBy("a", "b").agg(F.min("distance").alias("distance"), F.bool_or("same").alias("same"))
+    """Of each valid picture the 12 nearest of train by hash, and how many more there are.
+
+    Only different hashes are joined. Of equal train hashes the twelve least pictures can be among
+    the nearest, so no more of them come back; all of them are counted.
+    """
+    scratch = Scratch(v.spark, "e12")
+    j = scratch.keep(v.pick().join(v.h, "image_id").where("phash IS NOT NULL AND (split = 'valid' OR (split = 'train' AND phash_mirror IS NOT NULL))").select("image_id", "split", "phash", "phash_mirror"))
+    a, b = j.where("split = 'valid'"), j.where("split = 'train'")
+    ra = a.groupBy("phash").agg(F.min("image_id").alias("id"))
+    rb = b.groupBy("phash", "phash_mirror").agg(F.min("image_id").alias("id"), F.count(F.lit(1)).alias("copies"))
+    near = scratch.keep(hamming_cross_pairs(ra, rb, scratch, 6).join(rb.select(F.col("id").alias("b"), F.col("phash").alias("pb"), F.col("phash_mirror").alias("mb"), "copies"), "b"))
+    total = near.groupBy("a").agg(F.sum("copies").alias("n"))
+    few = rank_in_groups(b.select("image_id", "phash", "phash_mirror"), ["phash", "phash_mirror"], ["image_id"], scratch, "nth").where("nth < 12").select(F.col("phash").alias("pb"), F.col("phash_mirror").alias("mb"), "image_id")
     w = Window.partitionBy("a").orderBy("distance", "b")
-    n = Window.partitionBy("a")
-    return both.withColumns({"rank": F.row_number().over(w), "n": F.count(F.lit(1)).over(n)}).where("rank <= 12").select("a", "b", "distance", "same", "rank", F.greatest(F.col("n") - 12, F.lit(0)).alias("extra"))
+    top = near.select("a", "distance", "pb", "mb").join(few, ["pb", "mb"]).select("a", "distance", F.col("image_id").alias("b")).withColumn("rank", F.row_number().over(w)).where("rank <= 12")
+    members = a.join(ra, "phash").select("image_id", F.col("id").alias("a"))
+    return members.join(top.join(total, "a"), "a").select(F.col("image_id").alias("a"), "b", "distance", "rank", F.greatest(F.col("n") - 12, F.lit(0)).alias("extra"))
 
 
 @query(f"""WITH RECURSIVE {IMG}, keyed AS (SELECT image_id, 'c' || '|' || dataset || '|' || clip AS k FROM img WHERE clip IS NOT NULL UNION ALL SELECT image_id, 'b' || '|' || base FROM img), centre AS (SELECT k, min(image_id) AS c FROM keyed GROUP BY k),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from frameloom.functions import geometry as G
@@ -132,9 +132,17 @@ def modified_boxes(current: DataFrame, original: DataFrame, within: float = 1e-5
 
 
 def variant_keepers(files: DataFrame, group: list[str], rotated: str, name: str) -> DataFrame:
-    """files with keep: of each group the first by name that isn't rotated, else the first."""
-    w = Window.partitionBy(*group).orderBy(F.col(rotated).asc(), F.col(name).asc())
-    return files.withColumn("keep", F.row_number().over(w) == 1)
+    """files with keep: of each group the first by name that isn't rotated, else the first. Names are unique in a group.
+
+    The first is found by an aggregate that combines on the map side, so a group may be of any size.
+    """
+    first = files.groupBy(*group).agg(F.min(F.struct(F.col(rotated), F.col(name))).alias("__first"))
+    keyed = first.select(*(F.col(c).alias(f"__{i}") for i, c in enumerate(group)), "__first")
+    on = None
+    for i, c in enumerate(group):
+        same = F.col(c).eqNullSafe(F.col(f"__{i}"))
+        on = same if on is None else on & same
+    return files.join(keyed, on).withColumn("keep", F.struct(F.col(rotated), F.col(name)) == F.col("__first")).drop("__first", *(f"__{i}" for i in range(len(group))))
 
 
 def upsert(old: DataFrame, new: DataFrame, key: str, owned: list[str]) -> DataFrame:

@@ -224,9 +224,34 @@ def test_clip_boxes(spark):
     assert [r.action for r in clip_boxes(df).collect()] == ["kept", "clipped", "removed"]
 
 
-def test_balanced_split_keeps_groups():
-    side = H.balanced_split([("a", 1, 10), ("a", 2, 5), ("a", 3, 5), ("b", 1, 2), ("b", 4, 2)], 0.5, {i: str(i) for i in range(5)})
-    assert side == {1: "train", 2: "valid", 3: "valid", 4: "valid"}
+def test_balanced_split(spark):
+    df = spark.createDataFrame([(i, d, g) for i, (d, g) in enumerate([("a", 1)] * 10 + [("a", 2)] * 5 + [("a", 3)] * 5 + [("b", 1)] * 2 + [("b", 4)] * 2)], "image_id bigint, dataset string, group_id bigint")
+    got = {r.group_id: r.side for r in H.balanced_split(df, Scratch(spark, "t"), 0.5).select("group_id", "side").distinct().collect()}
+    assert got == {1: "train", 2: "valid", 3: "valid", 4: "valid"}
+    assert H.balanced_split(df.limit(0), Scratch(spark, "t")).count() == 0
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_balanced_counts_are_those_of_one_by_one(seed):
+    rng = random.Random(seed)
+    kinds = {}
+    for _ in range(12):
+        k = tuple((d, rng.randrange(1, 9)) for d in sorted(rng.sample("abcd", rng.choice([1, 1, 2]))))
+        kinds[k] = rng.randrange(1, 6)
+    got = H.balanced_counts(kinds, 0.3)
+    side: dict = {}
+    for d in "abcd":
+        of = sorted(((n, k, i) for k, c in kinds.items() for e, n in k if e == d for i in range(c)), key=lambda x: (-x[0], x[1], x[2]))
+        want = {"valid": round(sum(x[0] for x in of) * 0.3)}
+        want["train"] = sum(x[0] for x in of) - want["valid"]
+        for n, k, i in of:
+            if (k, i) in side:
+                want[side[k, i]] -= n
+        for n, k, i in of:
+            if (k, i) not in side:
+                side[k, i] = "valid" if want["valid"] > want["train"] else "train"
+                want[side[k, i]] -= n
+    assert got == {k: sum(side[k, i] == "valid" for i in range(c)) for k, c in kinds.items()}
 
 
 def test_quota_subset(spark):
