@@ -31,13 +31,14 @@ def hash_to_min(links: DataFrame, scratch: Scratch, a: str = "a", b: str = "b",
     the two ends are ignored.
     """
     ends = links.select(F.col(a).cast("bigint").alias("v"), F.col(b).cast("bigint").alias("u")).where("v IS NOT NULL AND u IS NOT NULL AND v <> u")
-    both = ends.select(F.explode(F.array(F.struct("v", "u"), F.struct(F.col("u").alias("v"), F.col("v").alias("u")))).alias("e")).select("e.*")
-    clusters = scratch.keep(both.distinct())
+    # Clusters are mutual, so a pair is kept once, the lesser record first, and read in both directions.
+    pairs = scratch.keep(ends.select(F.least("v", "u").alias("v"), F.greatest("v", "u").alias("u")).distinct())
     done: list[DataFrame] = []
     for _ in range(most_rounds):
+        clusters = pairs.select(F.explode(F.array(F.struct("v", "u"), F.struct(F.col("u").alias("v"), F.col("v").alias("u")))).alias("e")).select("e.*")
         least = clusters.groupBy("v").agg(F.least(F.col("v"), F.min("u")).alias("m"), F.count(F.lit(1)).alias("n"))
         least = scratch.keep(least)
-        # Clusters are mutual, so a component is whole once all members of its least record hold that one only.
+        # A component is whole once all members of its least record hold that one only.
         single = least.where("m < v AND n = 1").groupBy("m").agg(F.count(F.lit(1)).alias("k"))
         whole = least.where("m = v").join(single.withColumnRenamed("m", "v"), "v").where("n = k").select(F.col("v").alias("m"), F.lit(True).alias("whole"))
         state = scratch.keep(least.join(whole, "m", "left").select("v", "m", F.coalesce("whole", F.lit(False)).alias("whole")))
@@ -47,7 +48,6 @@ def hash_to_min(links: DataFrame, scratch: Scratch, a: str = "a", b: str = "b",
         if open_.isEmpty():
             return reduce(DataFrame.unionByName, done)
         to_least = clusters.join(open_, "v").where("u <> m").select("m", "u").unionByName(open_.where("m < v").select("m", F.col("v").alias("u")))
-        sent = to_least.select(F.explode(F.array(F.struct(F.col("m").alias("v"), "u"), F.struct(F.col("u").alias("v"), F.col("m").alias("u")))).alias("e")).select("e.*").distinct()
-        before, clusters = clusters, scratch.keep(sent)
+        before, pairs = pairs, scratch.keep(to_least.select(F.col("m").alias("v"), "u").distinct())
         scratch.drop(before)
     raise RuntimeError(f"no stable clusters after {most_rounds} rounds")
