@@ -79,6 +79,15 @@ def p3_subset(spark: SparkSession, sf_dir: str) -> DataFrame:
     return varied_subset(records.select(F.col("image_id").alias("id"), "dataset", "clip", F.col("phash").alias("hash"), "shape", "least_boxes", "boxes"), Scratch(spark, "p3"), k=0.01).withColumnRenamed("id", "image_id")
 
 
+def p3_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per dataset its images, how many were chosen, and the share of all that were chosen."""
+    chosen = Scratch(spark, "p3r").keep(p3_subset(spark, sf_dir))
+    n = chosen.groupBy("dataset").agg(F.count(F.lit(1)).alias("n_chosen"))
+    total = chosen.count() or 1
+    images = current_images(table(spark, sf_dir, "image_index")).groupBy("dataset").agg(F.count(F.lit(1)).alias("n_images"))
+    return images.join(n, "dataset", "left").select("dataset", "n_images", F.coalesce("n_chosen", F.lit(0)).alias("n_chosen"), (F.coalesce("n_chosen", F.lit(0)) / F.lit(total)).alias("share"))
+
+
 # 4. Groups of pairwise matches
 
 
@@ -177,7 +186,7 @@ def p10_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
-        for f in (p1_found, p1_events, p2_sample, p2_report, p3_subset, p4_found, p5_mixture, p5_report, p6_found, p6_report, p7_found, p7_splits, p8_ids, p9_containers, p9_report, p10_found, p10_repetition)
+        for f in (p1_found, p1_events, p2_sample, p2_report, p3_subset, p3_report, p4_found, p5_mixture, p5_report, p6_found, p6_report, p7_found, p7_splits, p8_ids, p9_containers, p9_report, p10_found, p10_repetition)
     }
 
 

@@ -34,16 +34,15 @@ def _ranks(symbols: np.ndarray) -> list[np.ndarray]:
     must differ, and each document must end in a symbol of its own.
     """
     n = len(symbols)
-    rank = np.unique(symbols, return_inverse=True)[1].astype(np.int64)
+    rank = np.unique(symbols, return_inverse=True)[1].astype(np.int32)
     steps, width = [rank], 1
     count = int(rank.max()) + 1 if n else 0
     while count < n:
-        following = np.zeros(n, np.int64)
-        following[: n - width] = rank[width:] + 1
-        key = rank * (n + 1) + following
+        key = rank.astype(np.int64) * (n + 1)
+        key[: n - width] += rank[width:] + 1
         order = np.argsort(key, kind="stable")
         fresh = np.concatenate([[0], (np.diff(key[order]) != 0).astype(np.int64)])
-        rank = np.empty(n, np.int64)
+        rank = np.empty(n, np.int32)
         rank[order] = np.cumsum(fresh)
         count = int(rank[order[-1]]) + 1
         steps.append(rank)

@@ -148,6 +148,17 @@ def test_split_totals():
     assert one["train"] == {100: 1}
 
 
+@pytest.mark.parametrize("most_bits", [10**9, 2000, 0])
+def test_split_totals_within_few_bits(most_bits):
+    sizes = {s: 1 + s % 3 for s in range(1, 120)}
+    got = Sp.choose_totals(sizes, {"train": 0.7, "valid": 0.2, "test": 0.1}, most_bits)
+    total = sum(s * n for s, n in sizes.items())
+    assert {s: sum(g[s] for g in got.values()) for s in sizes} == sizes
+    assert all(n >= 0 for g in got.values() for n in g.values())
+    off = [abs(sum(s * n for s, n in got[k].items()) - share * total) for k, share in (("valid", 0.2), ("test", 0.1))]
+    assert max(off) <= (1 if most_bits == 10**9 else 60)
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.dictionaries(st.integers(1, 12), st.integers(1, 4), max_size=4), st.integers(0, 40))
 def test_closest_sum(sizes, target):
