@@ -8,7 +8,9 @@ rows; rows come back by a join on the value.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -16,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from frameloom.functions.geometry import hamming
-from frameloom.plans.scratch import Scratch
+from frameloom.plans.scratch import Scratch, spread
 
 BLOCK = 2048
 
@@ -31,19 +33,67 @@ def _mask(lo: int, n: int) -> np.uint64:
     return np.uint64(((1 << n) - 1) << lo)
 
 
+def _equal(left: np.ndarray, right: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places (i, j) with left[i] == right[j], some million at a time."""
+    order = np.argsort(right, kind="stable")
+    ranked = right[order]
+    lo = np.searchsorted(ranked, left, "left")
+    n = np.searchsorted(ranked, left, "right") - lo
+    at = np.flatnonzero(n)
+    done = 0
+    total = np.cumsum(n[at])
+    while done < len(at):
+        end = max(done + 1, int(np.searchsorted(total, (total[done - 1] if done else 0) + 4_000_000, "right")))
+        k = at[done:end]
+        m = n[k]
+        begin = np.cumsum(m) - m
+        yield np.repeat(k, m), order[np.arange(m.sum()) - np.repeat(begin - lo[k], m)]
+        done = end
+
+
 def _compare(position: int, left: np.ndarray, right: np.ndarray, threshold: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    earlier = [_mask(*w) for w in words(threshold)[:position]]
-    for a in range(0, len(left), BLOCK):
-        x = left[a : a + BLOCK]
-        for b in range(0, len(right), BLOCK):
-            y = right[b : b + BLOCK]
-            i, j = np.nonzero(np.bitwise_count(x[:, None] ^ y[None, :]) <= threshold)
-            if len(i):
-                d = x[i] ^ y[j]
-                ok = np.ones(len(i), bool)
-                for m in earlier:
-                    ok &= (d & m) != 0
-                yield x[i[ok]], y[j[ok]]
+    """Pairs within the threshold of a group that agree in no word before `position`.
+
+    Small groups are compared as a whole. In large ones the other bits are cut into threshold + s
+    words, of which s are the same for sure: pairs are looked up by every choice of s words, and
+    found by the first s that are the same.
+    """
+    cut = words(threshold)
+    earlier = [_mask(*w) for w in cut[:position]]
+
+    def verified(x: np.ndarray, y: np.ndarray, differ: list) -> tuple[np.ndarray, np.ndarray]:
+        d = x ^ y
+        near = np.bitwise_count(d) <= threshold
+        d, x, y = d[near], x[near], y[near]
+        ok = np.ones(len(d), bool)
+        for m in differ:
+            ok &= (d & m) != 0
+        return x[ok], y[ok]
+
+    pairs = float(len(left)) * len(right)
+    rest = [b for b in range(64) if not cut[position][0] <= b < sum(cut[position])]
+    # Seconds a pair when compared as a whole, looked up, and a row when sorted.
+    cost = {0: pairs * 3e-9}
+    for s in range(1, 4):
+        if threshold + s <= len(rest):
+            n = math.comb(threshold + s, s)
+            cost[s] = n * ((len(left) + len(right)) * 2e-7 + pairs / 2 ** (s * len(rest) / (threshold + s)) * 3e-8 + 1e-4)
+    s = min(cost, key=cost.get)
+    if not s:
+        for a in range(0, len(left), BLOCK):
+            x = left[a : a + BLOCK]
+            for b in range(0, len(right), BLOCK):
+                y = right[b : b + BLOCK]
+                i, j = np.nonzero(np.bitwise_count(x[:, None] ^ y[None, :]) <= threshold)
+                if len(i):
+                    yield verified(x[i], y[j], earlier)
+        return
+    masks = [np.uint64(sum(1 << b for b in part.tolist())) for part in np.array_split(np.array(rest), threshold + s)]
+    for chosen in combinations(range(len(masks)), s):
+        mask = np.bitwise_or.reduce([masks[c] for c in chosen])
+        differ = [*earlier, *(masks[c] for c in range(chosen[-1]) if c not in chosen)]
+        for i, j in _equal(left & mask, right & mask):
+            yield verified(left[i], right[j], differ)
 
 
 def _near_of_partition(batches: Iterator[pa.RecordBatch], threshold: int) -> Iterator[pa.RecordBatch]:
@@ -99,7 +149,8 @@ def near_values(values: DataFrame, threshold: int, hot: int = 100_000) -> DataFr
     left = salted.where("side & 1 = 1").select("value", F.lit(1).alias("side"), "k", F.pmod(F.xxhash64("value"), "salts").alias("salt"))
     right = salted.where("side & 2 = 2").select("value", F.lit(2).alias("side"), "k", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("salts") - 1)).alias("salt"))
     dealt = left.unionByName(right).select("value", "side", F.col("k").bitwiseOR(F.shiftleft("salt", 20)).alias("k"))
-    return dealt.repartition("k").sortWithinPartitions("k").mapInArrow(lambda x: _near_of_partition(x, threshold), "a bigint, b bigint, distance int")
+    # Comparing costs more than the rows weigh, so their partitions aren't put together by weight.
+    return dealt.repartition(spread(values.sparkSession), "k").sortWithinPartitions("k").mapInArrow(lambda x: _near_of_partition(x, threshold), "a bigint, b bigint, distance int")
 
 
 def hamming_self_pairs(rows: DataFrame, scratch: Scratch, most: int, id_: str = "id", value: str = "phash", limit: str | None = None) -> DataFrame:

@@ -23,6 +23,11 @@ def shared_dir(spark: SparkSession) -> str:
     return named
 
 
+def spread(spark: SparkSession) -> int:
+    """Partitions for a stage whose work is in no proportion to its bytes: the session's number, two per core at least."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions", "200")), 2 * spark.sparkContext.defaultParallelism)
+
+
 def _delete(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)

@@ -95,6 +95,27 @@ def test_hot_words_are_salted(spark):
     assert some == want
 
 
+@pytest.mark.parametrize("threshold", [4, 8])
+def test_large_groups_lose_no_pair(threshold):
+    import numpy as np
+
+    rng = np.random.default_rng(threshold)
+    free = ~Sim._mask(*Sim.words(threshold)[1])
+    left = rng.integers(0, 2**63, 6000, dtype=np.uint64) & free
+    right = left.copy()
+    for k in range(len(right)):
+        for b in rng.choice([b for b in range(64) if int(free) >> b & 1], threshold, replace=False):
+            right[k] ^= np.uint64(1) << np.uint64(b)
+    found = [set(), set()]
+    for n, part in enumerate((slice(0, 6000), slice(0, 300))):
+        for x, y in Sim._compare(1, left[part], right[part], threshold):
+            assert not found[n] & set(zip(x.tolist(), y.tolist()))
+            found[n] |= set(zip(x.tolist(), y.tolist()))
+    word = Sim._mask(*Sim.words(threshold)[0])
+    want = {(int(x), int(y)) for x, y in zip(left, right) if (x ^ y) & word}
+    assert found[0] >= want and found[1] >= {(int(x), int(y)) for x, y in zip(left[:300], right[:300]) if (x ^ y) & word}
+
+
 def test_thinning(spark):
     rng = random.Random(1)
     rows, h = [], 0
