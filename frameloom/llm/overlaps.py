@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from frameloom.plans.scratch import Scratch
+from frameloom.plans.scratch import Scratch, spread
 
 # (first bit, bits) of the five words.
 WORDS = ((0, 13), (13, 13), (26, 13), (39, 13), (52, 12))
@@ -141,7 +141,8 @@ def near_values(values: DataFrame, hot: int = 500_000) -> DataFrame:
     salted = keys.join(F.broadcast(crowded), F.col("k") == F.col("hot_k"), "left")  # at most 36,864 rows
     salt = F.when(F.col("salts").isNull(), F.array(F.lit(0).cast("bigint"))).when(F.col("train"), F.array(F.pmod(F.xxhash64("value"), F.col("salts")))).otherwise(F.sequence(F.lit(0).cast("bigint"), F.col("salts").cast("bigint") - 1))
     dealt = salted.select("value", "train", F.explode(F.transform(salt, lambda s: F.col("k").bitwiseOR(F.shiftleft(s, 16)))).alias("k"))
-    return dealt.repartition("k").sortWithinPartitions("k").mapInArrow(_links_of_partition, LINK)
+    # Comparing costs more than the rows weigh, so their partitions are not put together by weight.
+    return dealt.repartition(spread(values.sparkSession), "k").sortWithinPartitions("k").mapInArrow(_links_of_partition, LINK)
 
 
 def cross_split_overlaps(records: DataFrame, scratch: Scratch) -> DataFrame:
