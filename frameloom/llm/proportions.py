@@ -44,6 +44,8 @@ def plan_sample(size: int, counts: list[int], shares: list[float], floor: int, s
         after = before + n * p
         drawn.append(min(n, math.floor(after + 1e-9) - math.floor(before + 1e-9)))
         before = after
+    while floor and sum(min(floor, n) for n, w in zip(counts, weights) if w > 0) > size:
+        floor -= 1  # floors can't be more than the sample together
     final = list(drawn)
     for i, n in enumerate(counts):  # floors, as far as there are rows
         if weights[i] > 0:
@@ -67,7 +69,8 @@ def proportional_sample(rows: DataFrame, targets: DataFrame, scratch: Scratch, c
     null category or another are never drawn. `key` orders ties of the hash; rows that
     agree in it are separate rows. report, a row per target category: share (of all),
     available, drawn, actual_share, lacking (rows short of share, 0 if none),
-    below_floor (rows short of the floor). An empty table gives an empty sample.
+    below_floor (rows short of the floor). Floors that are more than `size` together are
+    lowered alike until they aren't. An empty table gives an empty sample.
     """
     spark = rows.sparkSession
     listed = [r.asDict() for r in targets.orderBy("category").collect()]

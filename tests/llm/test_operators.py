@@ -277,6 +277,12 @@ def test_proportional_sample(spark):
     assert Pr.proportional_sample(df.limit(0), targets, Scratch(spark, "t"), "class_id", ["image_id"])[0].count() == 0
 
 
+def test_floors_beyond_the_sample():
+    plan = Pr.plan_sample(30, [100, 100, 4], [90.0, 9.0, 1.0], 50, 0.3)
+    assert [f for _, _, f in plan] == [13, 13, 4]
+    assert sum(f for _, _, f in Pr.plan_sample(2, [5, 5, 5], [1.0, 1.0, 1.0], 9, 0.9)) == 2
+
+
 # 3
 
 
