@@ -16,6 +16,7 @@ from frameloom.operators.graph import connected_components
 from frameloom.operators.sampling import in_all, related_groups
 from frameloom.operators.sequences import selected_frames, thin_clips
 from frameloom.operators.similarity import hamming_cross_pairs, hamming_links, hamming_self_pairs, nearest
+from frameloom.params import DEFAULTS
 from frameloom.plans.ranks import rank_in_groups
 from frameloom.plans.scratch import Scratch
 
@@ -77,9 +78,9 @@ _LIMITED = f"{IMG}, {H}, {CAT}, {EFF}, e1 AS (SELECT dataset, max(phash_max) AS
 
 
 def _limited(v: Views) -> DataFrame:
-    """Hashes with the distance up to which their dataset takes pictures for the same, eight at most."""
+    """Hashes with the distance up to which their dataset takes pictures for the same."""
     most = C.effective(v.cat).groupBy("dataset").agg(F.max("phash_max").alias("most"))
-    return v.pick().join(v.h, "image_id").where("phash IS NOT NULL").join(most, "dataset", "left").select(F.col("image_id").alias("id"), "phash", "dataset", F.least(F.coalesce("most", F.lit(8)), F.lit(8)).alias("most"))
+    return v.pick().join(v.h, "image_id").where("phash IS NOT NULL").join(most, "dataset", "left").select(F.col("image_id").alias("id"), "phash", "dataset", F.coalesce("most", F.lit(DEFAULTS.phash_distance)).alias("most"))
 
 
 @query(f"""WITH {_LIMITED}, r AS (SELECT min(image_id) AS id, phash, most FROM l GROUP BY phash, most)
@@ -87,7 +88,7 @@ SELECT x.id AS a, y.id AS b, bit_count(xor(x.phash, y.phash))::INT AS distance F
 def d13_hamming_pairs(v: Views) -> DataFrame:
     """Near pairs between representatives: the least picture of each hash and limit; d13_hash_copies has the others."""
     first = _limited(v).groupBy("phash", "most").agg(F.min("id").alias("id"))
-    return hamming_self_pairs(first, Scratch(v.spark, "d13"), 8, limit="most")
+    return hamming_self_pairs(first, Scratch(v.spark, "d13"), C.widest_distance(v.cat), limit="most", usual=DEFAULTS.phash_distance)
 
 
 @query(f"WITH {_LIMITED} SELECT image_id, min(image_id) OVER (PARTITION BY phash, most) AS representative FROM l")
@@ -163,7 +164,7 @@ SELECT image_id, g AS component, first_value(image_id) OVER w AS keeper, n AS n_
 def e5_duplicates(v: Views) -> DataFrame:
     """Components of pictures with equal or near hashes; the one of most boxes is kept, ties by dataset and image_id."""
     scratch = Scratch(v.spark, "e5")
-    comp = connected_components(hamming_links(_limited(v), scratch, 8, limit="most"), scratch)
+    comp = connected_components(hamming_links(_limited(v), scratch, C.widest_distance(v.cat), limit="most", usual=DEFAULTS.phash_distance), scratch)
     n = v.bx.groupBy("image_id").agg(F.count(F.lit(1)).alias("n"))
     r = comp.join(v.pick().select(F.col("image_id").alias("id"), "dataset"), "id").join(n.withColumnRenamed("image_id", "id"), "id", "left").withColumn("n", F.coalesce("n", F.lit(0)))
     r = scratch.keep(r)
@@ -180,7 +181,7 @@ SELECT image_id, keeper, CASE WHEN both_ THEN round(sim, 9) END AS similarity, b
 def e7_rescued_duplicates(v: Views) -> DataFrame:
     """Duplicates whose boxes are unlike the keeper's are kept; where either has no boxes they stay excluded."""
     scratch = Scratch(v.spark, "e7")
-    comp = connected_components(hamming_links(v.pick().join(v.h, "image_id").withColumnRenamed("image_id", "id"), scratch, 4), scratch)
+    comp = connected_components(hamming_links(v.pick().join(v.h, "image_id").withColumnRenamed("image_id", "id"), scratch, DEFAULTS.phash_distance), scratch)
     k = v.bx.groupBy("image_id", "class_id").agg(F.count(F.lit(1)).alias("n"))
     k = scratch.keep(k)
     total = k.groupBy("image_id").agg(F.sum("n").alias("total"))

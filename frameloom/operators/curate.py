@@ -33,6 +33,11 @@ def effective(cat: DataFrame, params: Params = DEFAULTS) -> DataFrame:
     return cat.select("dataset", F.coalesce("variety_min", F.lit(params.variety_min_instances)).alias("variety_min"), F.coalesce("closeup", F.lit(params.closeup_area)).alias("closeup"), F.coalesce("faraway", F.lit(params.faraway_area)).alias("faraway"), F.coalesce("phash_max", F.lit(params.phash_distance)).alias("phash_max"))
 
 
+def widest_distance(cat: DataFrame, params: Params = DEFAULTS) -> int:
+    """The greatest distance up to which some dataset takes pictures for the same."""
+    return max(params.phash_distance, effective(cat, params).agg(F.max("phash_max")).first()[0] or 0)
+
+
 def cheap_cascade(images: DataFrame, boxes: DataFrame, cat: DataFrame, params: Params = DEFAULTS) -> DataFrame:
     """images with n_target, max_area, min_area, reason (null: kept); the first rule that fails names it.
 

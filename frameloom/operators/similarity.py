@@ -153,21 +153,25 @@ def near_values(values: DataFrame, threshold: int, hot: int = 100_000) -> DataFr
     return dealt.repartition(spread(values.sparkSession), "k").sortWithinPartitions("k").mapInArrow(lambda x: _near_of_partition(x, threshold), "a bigint, b bigint, distance int")
 
 
-def hamming_self_pairs(rows: DataFrame, scratch: Scratch, most: int, id_: str = "id", value: str = "phash", limit: str | None = None) -> DataFrame:
+def hamming_self_pairs(rows: DataFrame, scratch: Scratch, most: int, id_: str = "id", value: str = "phash", limit: str | None = None, usual: int | None = None) -> DataFrame:
     """(a, b, distance), a < b, of rows within min of both rows' `limit` column (or `most`, its upper bound).
 
-    Null hashes are near to nothing.
+    Null hashes are near to nothing. `usual`: only rows of a greater limit are compared at `most`, the
+    others at this distance; the result is the same.
     """
     known = scratch.keep(rows.where(F.col(value).isNotNull()).select(F.col(id_).alias("id"), F.col(value).alias("value"), (F.col(limit) if limit else F.lit(most)).alias("most")))
     values = scratch.keep(known.select("value").distinct().withColumn("side", F.lit(3)))
-    near = near_values(values, most).where("a <= b")
+    near = near_values(values, most if usual is None else min(usual, most)).where("a <= b")
+    if usual is not None and usual < most:
+        wide = scratch.keep(known.where(F.col("most") > usual).select("value").distinct().withColumn("side", F.lit(3)))
+        near = near.unionByName(near_values(wide, most).where((F.col("a") <= F.col("b")) & (F.col("distance") > usual)))
     left = known.select(F.col("id").alias("ia"), F.col("value").alias("a"), F.col("most").alias("ma"))
     right = known.select(F.col("id").alias("ib"), F.col("value").alias("b"), F.col("most").alias("mb"))
     pairs = near.join(left, "a").join(right, "b").where((F.col("distance") <= F.least("ma", "mb")) & ((F.col("a") != F.col("b")) | (F.col("ia") < F.col("ib"))))
     return pairs.select(F.least("ia", "ib").alias("a"), F.greatest("ia", "ib").alias("b"), "distance")
 
 
-def hamming_links(rows: DataFrame, scratch: Scratch, most: int, id_: str = "id", value: str = "phash", limit: str | None = None) -> DataFrame:
+def hamming_links(rows: DataFrame, scratch: Scratch, most: int, id_: str = "id", value: str = "phash", limit: str | None = None, usual: int | None = None) -> DataFrame:
     """(a, b): links with the same components as `hamming_self_pairs`, fewer for exact copies.
 
     Rows of one value and limit are linked to the least of them only.
@@ -176,7 +180,7 @@ def hamming_links(rows: DataFrame, scratch: Scratch, most: int, id_: str = "id",
     first = known.groupBy("value", "most").agg(F.min("id").alias("id"))
     first = scratch.keep(first)
     copies = known.join(first.withColumnRenamed("id", "first"), ["value", "most"]).where("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b"))
-    return copies.unionByName(hamming_self_pairs(first, scratch, most, "id", "value", "most").select("a", "b"))
+    return copies.unionByName(hamming_self_pairs(first, scratch, most, "id", "value", "most", usual).select("a", "b"))
 
 
 def hamming_cross_pairs(left: DataFrame, right: DataFrame, scratch: Scratch, most: int) -> DataFrame:

@@ -28,9 +28,9 @@ def select(images: DataFrame, boxes: DataFrame, sized: DataFrame, hashes: DataFr
     temporal = thinned.select("image_id", F.lit("temporal").alias("stage"), F.concat(F.lit("redundant frame, kept is "), F.col("kept_by")).alias("reason"))
     left = scratch.keep(left.join(thinned, "image_id", "left_anti"))
 
-    most = C.effective(one, params).select("dataset", F.least("phash_max", F.lit(params.phash_distance)).alias("most"))
+    most = C.effective(one, params).select("dataset", F.col("phash_max").alias("most"))
     limited = left.join(most, "dataset", "left").select(F.col("image_id").alias("id"), "phash", F.coalesce("most", F.lit(params.phash_distance)).alias("most"))
-    comp = connected_components(hamming_links(limited, scratch, params.phash_distance, limit="most"), scratch)
+    comp = connected_components(hamming_links(limited, scratch, C.widest_distance(one, params), limit="most", usual=params.phash_distance), scratch)
     n = boxes.groupBy("image_id").agg(F.count(F.lit(1)).alias("n"))
     ranked = scratch.keep(comp.withColumnRenamed("id", "image_id").join(left.select("image_id", "dataset", "split"), "image_id").join(n, "image_id", "left"))
     keeper = ranked.groupBy("component").agg(F.min(F.struct(-F.coalesce("n", F.lit(0)), F.col("dataset"), F.col("split"), F.col("image_id"))).alias("k"))

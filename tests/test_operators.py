@@ -449,3 +449,23 @@ def test_split_summary_of_the_fixture(spark):
     assert got == {0: (1, 1), 1: (2, 1), 2: (0, 0)}
     bag = spark.createDataFrame([("train", 1), ("train", 1), ("valid", 1)], "split string, image_id bigint")
     assert {r.split: r.instances for r in split_summary(bag, boxes).collect()} == {"train": 4, "valid": 2, "TOTAL": 6}
+
+
+def test_greater_limits_of_datasets_hold(spark):
+    rng = random.Random(3)
+    rows = [(i, h, 10 if i % 3 else 4) for i, (_, h, _) in enumerate(hashes(rng, 160)) if h is not None]
+    rows += [(1000, 0, 10), (1001, 2**10 - 1, 10), (1002, 2**9 - 1, 8)]
+    df = spark.createDataFrame(rows, "id bigint, phash bigint, most int")
+    want = {(a[0], b[0]) for a in rows for b in rows if a[0] < b[0] and bits(a[1], b[1]) <= min(a[2], b[2])}
+    got = {(r.a, r.b) for r in Sim.hamming_self_pairs(df, Scratch(spark, "t"), 10, limit="most", usual=8).collect()}
+    assert got == want and (1000, 1001) in got and (1000, 1002) not in got
+
+
+def test_limits_of_the_catalog_are_not_cut(spark, small):
+    from frameloom.catalogue.pairs import _limited
+    from frameloom.catalogue.views import Views
+    from frameloom.operators.curate import widest_distance
+
+    v = Views(spark, small)
+    assert widest_distance(v.cat) == 10
+    assert _limited(v).agg(F.max("most")).first()[0] == 10

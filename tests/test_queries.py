@@ -25,3 +25,14 @@ def test_entry(spark, small):
 
     assert e.entry(spark).count() > 0
     assert set(e.oracle_sql()) <= set(e.queries())
+
+
+WHOLE = {"d13_hamming_pairs": ("least(coalesce(most, 8), 8)", "coalesce(most, 8)"), "d13_hash_copies": ("least(coalesce(most, 8), 8)", "coalesce(most, 8)"), "e5_duplicates": ("least(coalesce(most, 8), 8)", "coalesce(most, 8)"), "e7_rescued_duplicates": ("phash)) <= 4)", "phash)) <= 8)")}
+
+
+@pytest.mark.parametrize("name", sorted(WHOLE))
+def test_distances_without_ceiling(spark, small, duck, name):
+    """The registered SQL cuts distances; here it runs without that cut."""
+    cut, whole = WHOLE[name]
+    assert cut in SQL[name]
+    assert_same(QUERIES[name](spark, small), duck, SQL[name].replace(cut, whole))
