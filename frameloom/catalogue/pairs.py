@@ -15,9 +15,8 @@ from frameloom.operators import review as R
 from frameloom.operators.graph import connected_components
 from frameloom.operators.sampling import in_all, related_groups
 from frameloom.operators.sequences import selected_frames, thin_clips
-from frameloom.operators.similarity import hamming_cross_pairs, hamming_links, hamming_self_pairs, nearest
+from frameloom.operators.similarity import cross_split_groups, hamming_cross_pairs, hamming_links, hamming_self_pairs, nearest, same_name_pairs
 from frameloom.params import DEFAULTS
-from frameloom.plans.ranks import rank_in_groups
 from frameloom.plans.scratch import Scratch
 
 COMPONENTS = """
@@ -103,13 +102,45 @@ t AS (SELECT min(image_id) AS id, phash, phash_mirror FROM img JOIN hs USING (im
 j AS (SELECT v.id AS a, t.id AS b, bit_count(xor(v.phash, t.phash)) AS s, bit_count(xor(v.phash, t.phash_mirror)) AS m FROM v, t)
 SELECT a, b, least(s, m)::INT AS distance, m < s AS mirrored FROM j WHERE least(s, m) <= 6""")
 def d14_cross_pairs(v: Views) -> DataFrame:
-    """Near pairs of valid and train pictures, between the least pictures of equal hashes on either side."""
+    """Near pairs of valid and train pictures, between the least pictures of equal hashes on either side.
+
+    d14_hash_copies has the others, d14_same_name_pairs the pairs of one base name that are further apart.
+    """
     j = v.pick().join(v.h, "image_id")
     a = j.where("split = 'valid' AND phash IS NOT NULL").groupBy("phash").agg(F.min("image_id").alias("id"))
     b = j.where("split = 'train' AND phash IS NOT NULL AND phash_mirror IS NOT NULL").groupBy("phash", "phash_mirror").agg(F.min("image_id").alias("id"))
     return hamming_cross_pairs(a, b, Scratch(v.spark, "d14"), 6)
 
 
+def _crossed(v: Views) -> tuple[DataFrame, DataFrame]:
+    """Valid and train pictures that can be in pairs, with their base names."""
+    j = v.pick(base=N.base_name(N.path_file(F.col("image_path")))).join(v.h, "image_id").where("phash IS NOT NULL")
+    return j.where("split = 'valid'"), j.where("split = 'train' AND phash_mirror IS NOT NULL")
+
+
+@query()
+def d14_hash_copies(v: Views) -> DataFrame:
+    """Valid and train pictures with those that stand for them: in d14_cross_pairs, and in d14_same_name_pairs."""
+    one = lambda d, keys: d.groupBy(*keys).agg(F.min("image_id").alias("by_hash"))
+
+    def side(d: DataFrame, keys: list[str]) -> DataFrame:
+        named = one(d, [*keys, "base"]).withColumnRenamed("by_hash", "by_name")
+        same = [F.col(f"x.{c}").eqNullSafe(F.col(f"y.{c}")) for c in (*keys, "base")]
+        return d.join(one(d, keys), keys).alias("x").join(named.alias("y"), same).select("image_id", "split", "by_hash", "by_name")
+
+    a, b = _crossed(v)
+    return side(a, ["phash"]).unionByName(side(b, ["phash", "phash_mirror"]))
+
+
+@query()
+def d14_same_name_pairs(v: Views) -> DataFrame:
+    """Valid and train pictures of one base name further apart than d14_cross_pairs has them, between the least pictures of equal hashes and base."""
+    a, b = _crossed(v)
+    kinds = a.groupBy("phash", "base").agg(F.min("image_id").alias("a"))
+    others = b.groupBy(F.col("phash").alias("pb"), F.col("phash_mirror").alias("mb"), "base").agg(F.min("image_id").alias("b"))
+    return same_name_pairs(kinds, others, 6)
+
+
 @query(f"""WITH {IMG}, {H}, l AS (SELECT image_id, phash FROM img JOIN hs USING (image_id) WHERE split = 'test' AND phash IS NOT NULL), p AS (SELECT dataset || '/' || file AS name, phash FROM img JOIN hs USING (image_id) WHERE split = 'train' AND phash IS NOT NULL),
 j AS (SELECT l.image_id AS id, bit_count(xor(l.phash, p.phash)) AS d, name FROM l, p WHERE d <= 12)
 SELECT id, min(d)::INT AS distance, arg_min(name, (d, name)) AS nearest FROM j GROUP BY id""")
@@ -207,23 +238,8 @@ j AS (SELECT v.image_id AS a, t.image_id AS b, least(bit_count(xor(v.phash, t.ph
 r AS (SELECT *, row_number() OVER (PARTITION BY a ORDER BY d, b) AS r, count(*) OVER (PARTITION BY a) AS n FROM j)
 SELECT a, b, d::INT AS distance, r::INT AS rank, greatest(n - 12, 0) AS extra FROM r WHERE r <= 12""")
 def e12_suspicious_groups(v: Views) -> DataFrame:
-    """Of each valid picture the 12 nearest of train by hash, and how many more there are.
-
-    Only different hashes are joined. Of equal train hashes the twelve least pictures can be among
-    the nearest, so no more of them come back; all of them are counted.
-    """
-    scratch = Scratch(v.spark, "e12")
-    j = scratch.keep(v.pick().join(v.h, "image_id").where("phash IS NOT NULL AND (split = 'valid' OR (split = 'train' AND phash_mirror IS NOT NULL))").select("image_id", "split", "phash", "phash_mirror"))
-    a, b = j.where("split = 'valid'"), j.where("split = 'train'")
-    ra = a.groupBy("phash").agg(F.min("image_id").alias("id"))
-    rb = b.groupBy("phash", "phash_mirror").agg(F.min("image_id").alias("id"), F.count(F.lit(1)).alias("copies"))
-    near = scratch.keep(hamming_cross_pairs(ra, rb, scratch, 6).join(rb.select(F.col("id").alias("b"), F.col("phash").alias("pb"), F.col("phash_mirror").alias("mb"), "copies"), "b"))
-    total = near.groupBy("a").agg(F.sum("copies").alias("n"))
-    few = rank_in_groups(b.select("image_id", "phash", "phash_mirror"), ["phash", "phash_mirror"], ["image_id"], scratch, "nth").where("nth < 12").select(F.col("phash").alias("pb"), F.col("phash_mirror").alias("mb"), "image_id")
-    w = Window.partitionBy("a").orderBy("distance", "b")
-    top = near.select("a", "distance", "pb", "mb").join(few, ["pb", "mb"]).select("a", "distance", F.col("image_id").alias("b")).withColumn("rank", F.row_number().over(w)).where("rank <= 12")
-    members = a.join(ra, "phash").select("image_id", F.col("id").alias("a"))
-    return members.join(top.join(total, "a"), "a").select(F.col("image_id").alias("a"), "b", "distance", "rank", F.greatest(F.col("n") - 12, F.lit(0)).alias("extra"))
+    """Of each valid picture the 12 nearest of train by hash or of the same base name, and how many more there are. The test tables have no dismissed pairs."""
+    return cross_split_groups(*_crossed(v), Scratch(v.spark, "e12"), 6)
 
 
 @query(f"""WITH RECURSIVE {IMG}, keyed AS (SELECT image_id, 'c' || '|' || dataset || '|' || clip AS k FROM img WHERE clip IS NOT NULL UNION ALL SELECT image_id, 'b' || '|' || base FROM img), centre AS (SELECT k, min(image_id) AS c FROM keyed GROUP BY k),

@@ -14,10 +14,11 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from frameloom.functions.geometry import hamming
+from frameloom.plans.ranks import rank_in_groups
 from frameloom.plans.scratch import Scratch, spread
 
 BLOCK = 2048
@@ -208,4 +209,71 @@ def nearest(left: DataFrame, pool: DataFrame, scratch: Scratch, most: int) -> Da
     return l.join(best, F.col("value") == F.col("a")).select("id", "x.distance", F.col("x.name").alias("nearest"))
 
 
-__all__ = ["hamming", "hamming_self_pairs", "hamming_links", "hamming_cross_pairs", "nearest", "near_values"]
+def _straight_or_mirrored(value: str, straight: str, mirror: str) -> Column:
+    return F.least(hamming(F.col(value), F.col(straight)), hamming(F.col(value), F.col(mirror)))
+
+
+def same_name_pairs(left: DataFrame, right: DataFrame, beyond: int) -> DataFrame:
+    """(a, b, distance, mirrored) of left (a, phash, base) and right (b, pb, mb, base) of one base, more than `beyond` bits apart.
+
+    Rows are to be one per kind, that is, per hashes and base, so equal pictures don't multiply.
+    """
+    straight, mirror = hamming(F.col("phash"), F.col("pb")), hamming(F.col("phash"), F.col("mb"))
+    pairs = left.select("a", "phash", "base").join(right.select("b", "pb", "mb", "base"), "base")
+    return pairs.select("a", "b", F.least(straight, mirror).alias("distance"), (mirror < straight).alias("mirrored")).where(F.col("distance") > beyond)
+
+
+def cross_split_groups(valid: DataFrame, train: DataFrame, scratch: Scratch, most: int, cap: int = 12, dismissed: DataFrame | None = None) -> DataFrame:
+    """(a, b, distance, rank, extra): of each valid picture the `cap` nearest of train, and how many more there are.
+
+    valid: image_id, base, phash; train also phash_mirror. A pair matches within `most` bits, straight or
+    mirrored, or if both have one base, at any distance; pairs in `dismissed` (a, b) don't. Pictures without
+    these hashes take no part. Ties: least b.
+
+    Kinds (equal hashes, and equal hashes and base) are joined, not pictures. Of a kind of train, `cap` least
+    pictures can be among the nearest, and one more for each dismissal of a valid picture.
+    """
+    v = scratch.keep(valid.where("phash IS NOT NULL").select("image_id", "base", "phash"))
+    t = scratch.keep(train.where("phash IS NOT NULL AND phash_mirror IS NOT NULL").select("image_id", "base", F.col("phash").alias("pb"), F.col("phash_mirror").alias("mb")))
+    gone, at_most = None, cap
+    if dismissed is not None:
+        pairs = dismissed.select("a", "b").distinct().join(v.select(F.col("image_id").alias("a"), "phash", F.col("base").alias("base_a")), "a")
+        pairs = pairs.join(t.select(F.col("image_id").alias("b"), "pb", "mb", F.col("base").alias("base_b")), "b")
+        near_or_same = (_straight_or_mirrored("phash", "pb", "mb") <= most) | F.coalesce(F.col("base_a") == F.col("base_b"), F.lit(False))
+        gone = scratch.keep(pairs.where(near_or_same).select("a", "b"))
+        per = gone.groupBy("a").agg(F.count(F.lit(1)).alias("gone"))
+        at_most += per.agg(F.max("gone")).first()[0] or 0
+
+    def first(keys: list[str]) -> DataFrame:
+        return rank_in_groups(t.select(*keys, "image_id"), keys, ["image_id"], scratch, "nth").where(F.col("nth") < at_most).select(*keys, F.col("image_id").alias("b"))
+
+    def top(rows: DataFrame, key: str, n: int) -> DataFrame:
+        w = Window.partitionBy(key).orderBy("distance", "b")
+        return rows.select(key, "distance", "b").withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
+
+    hashes = t.groupBy("pb", "mb").agg(F.min("image_id").alias("b"), F.count(F.lit(1)).alias("copies"))
+    of_valid = v.groupBy("phash").agg(F.min("image_id").alias("id"))
+    near = hamming_cross_pairs(of_valid, hashes.select(F.col("b").alias("id"), F.col("pb").alias("phash"), F.col("mb").alias("phash_mirror")), scratch, most)
+    near = scratch.keep(near.select(F.col("a").alias("id"), "b", "distance").join(hashes, "b").drop("b").join(of_valid, "id"))
+    by_hash = scratch.keep(top(near.join(first(["pb", "mb"]), ["pb", "mb"]), "phash", at_most).drop("rank"))
+    n_hash = near.groupBy("phash").agg(F.sum("copies").alias("n"))
+
+    kinds = scratch.keep(v.groupBy("phash", "base").agg(F.min("image_id").alias("kind")))
+    others = scratch.keep(t.groupBy("pb", "mb", "base").agg(F.min("image_id").alias("b"), F.count(F.lit(1)).alias("copies")))
+    far = scratch.keep(same_name_pairs(kinds.withColumnRenamed("kind", "a"), others, most).select(F.col("a").alias("kind"), "b", "distance").join(others, "b").drop("b"))
+    by_name = top(far.join(first(["pb", "mb", "base"]), ["pb", "mb", "base"]), "kind", at_most).drop("rank")
+    n_name = far.groupBy("kind").agg(F.sum("copies").alias("n"))
+
+    found = scratch.keep(by_hash.join(kinds, "phash").select("kind", "distance", "b").unionByName(by_name.select("kind", "distance", "b")))
+    total = n_hash.join(kinds, "phash").select("kind", "n").unionByName(n_name.select("kind", "n")).groupBy("kind").agg(F.sum("n").alias("n"))
+    members = v.join(kinds.withColumnRenamed("base", "base_"), (v["phash"] == kinds["phash"]) & v["base"].eqNullSafe(F.col("base_"))).select(F.col("image_id").alias("a"), "kind")
+    if gone is None:
+        rows = members.join(top(found, "kind", cap).join(total, "kind"), "kind")
+    else:
+        left = members.join(found, "kind").join(gone, ["a", "b"], "left_anti")
+        counts = members.join(total, "kind").join(per, "a", "left").select("a", (F.col("n") - F.coalesce("gone", F.lit(0))).alias("n"))
+        rows = top(left, "a", cap).join(counts, "a")
+    return rows.select("a", "b", "distance", "rank", F.greatest(F.col("n") - cap, F.lit(0)).alias("extra"))
+
+
+__all__ = ["hamming", "hamming_self_pairs", "hamming_links", "hamming_cross_pairs", "nearest", "near_values", "same_name_pairs", "cross_split_groups"]

@@ -469,3 +469,27 @@ def test_limits_of_the_catalog_are_not_cut(spark, small):
     v = Views(spark, small)
     assert widest_distance(v.cat) == 10
     assert _limited(v).agg(F.max("most")).first()[0] == 10
+
+
+@pytest.mark.parametrize("clicked", [False, True])
+def test_cross_split_groups(spark, clicked):
+    rng = random.Random(11)
+    rows = [(i, rng.choice(["a", "b", "c", None, *map(str, range(20))]), p, m) for i, p, m in hashes(rng, 200)]
+    rows += [(300 + i, "z", 5, 6) for i in range(20)]  # copies
+    valid, train = [r for r in rows if r[0] % 3 == 0], [r for r in rows if r[0] % 3]
+    gone = {(r[0], t[0]) for r in valid for t in train if rng.random() < 0.1} | {(300, t[0]) for t in train[-8:]} | {(-1, 5)} if clicked else set()
+    want = set()
+    for a in valid:
+        of = []
+        for b in train:
+            if None in (a[2], b[2], b[3]) or (a[0], b[0]) in gone:
+                continue
+            d = min(bits(a[2], b[2]), bits(a[2], b[3]))
+            if d <= 6 or a[1] is not None and a[1] == b[1]:
+                of.append((d, b[0]))
+        want |= {(a[0], b, d, k, max(len(of) - 12, 0)) for k, (d, b) in enumerate(sorted(of)[:12], 1)}
+    schema = "image_id bigint, base string, phash bigint, phash_mirror bigint"
+    out = spark.createDataFrame(sorted(gone), "a bigint, b bigint") if clicked else None
+    got = Sim.cross_split_groups(spark.createDataFrame(valid, schema), spark.createDataFrame(train, schema), Scratch(spark, "t"), 6, dismissed=out).collect()
+    assert {tuple(r) for r in got} == want and len(got) == len(want)
+    assert any(r.distance > 6 for r in got)

@@ -36,3 +36,28 @@ def test_distances_without_ceiling(spark, small, duck, name):
     cut, whole = WHOLE[name]
     assert cut in SQL[name]
     assert_same(QUERIES[name](spark, small), duck, SQL[name].replace(cut, whole))
+
+
+def test_suspicious_groups_of_one_name(spark, small, duck):
+    """The registered SQL has the pairs near by hash only; here those of one base name are added."""
+    name = "e12_suspicious_groups"
+    assert_same(QUERIES[name](spark, small), duck, SQL[name].replace("AND d <= 6)", "AND (d <= 6 OR v.base = t.base))"))
+
+
+def test_cross_pairs_are_whole_with_copies_and_names(spark, small, duck):
+    from frameloom.catalogue.views import H, IMG
+
+    copies = {r.image_id: r for r in QUERIES["d14_hash_copies"](spark, small).collect()}
+    near = {(r.a, r.b) for r in QUERIES["d14_cross_pairs"](spark, small).collect()}
+    named = {(r.a, r.b) for r in QUERIES["d14_same_name_pairs"](spark, small).collect()}
+    got = {(a, b) for a in copies for b in copies if copies[a].split == "valid" and copies[b].split == "train" and ((copies[a].by_hash, copies[b].by_hash) in near or (copies[a].by_name, copies[b].by_name) in named)}
+    sql = f"WITH {IMG}, {H}, j AS (SELECT * FROM img JOIN hs USING (image_id)) SELECT v.image_id, t.image_id FROM j v, j t WHERE v.split = 'valid' AND t.split = 'train' AND v.phash IS NOT NULL AND t.phash IS NOT NULL AND t.phash_mirror IS NOT NULL AND (least(bit_count(xor(v.phash, t.phash)), bit_count(xor(v.phash, t.phash_mirror))) <= 6 OR v.base = t.base)"
+    assert got == set(duck.execute(sql).fetchall())
+
+
+def test_pairs_of_one_name_at_any_distance(spark, tmp_path):
+    rows = [(1, "x/ds/valid/images/ds__a_flip.jpg"), (2, "x/ds/train/images/A.jpg"), (3, "x/ds/train/images/b.jpg")]
+    spark.createDataFrame([(i, p, "ds", None, 1) for i, p in rows], "image_id bigint, image_path string, dataset_id string, split string, indexed_at bigint").write.parquet(f"{tmp_path}/image_index.parquet")
+    spark.createDataFrame([(1, 0, 0), (2, 2**20 - 1, 2**30 - 1), (3, 2**20 - 1, 2**30 - 1)], "image_id bigint, phash bigint, phash_mirror bigint").write.parquet(f"{tmp_path}/hashes.parquet")
+    assert [tuple(r) for r in QUERIES["e12_suspicious_groups"](spark, str(tmp_path)).collect()] == [(1, 2, 20, 1, 0)]
+    assert [tuple(r) for r in QUERIES["d14_same_name_pairs"](spark, str(tmp_path)).collect()] == [(1, 2, 20, False)]
