@@ -17,6 +17,7 @@ from frameloom.operators.sampling import in_all, related_groups
 from frameloom.operators.sequences import selected_frames, thin_clips
 from frameloom.operators.similarity import cross_split_groups, hamming_cross_pairs, hamming_links, hamming_self_pairs, nearest, same_name_pairs
 from frameloom.params import DEFAULTS
+from frameloom.plans.ranks import rank_in_groups
 from frameloom.plans.scratch import Scratch
 
 COMPONENTS = """
@@ -264,16 +265,15 @@ def f1_hard_examples(v: Views) -> DataFrame:
 def f2_novel_hard_examples(v: Views) -> DataFrame:
     """Greedy novelty over the hard examples: near a picture of the pool, near a kept one, kept, or over the limit.
 
-    The ranked list is a top-k report of at most 2,000 rows, which goes to the driver.
+    Every picture of a missed or weak box outside the pool has its fate.
     """
-    spark = v.spark
-    top = _hard(v).where("missed + weak > 0").orderBy(F.col("missed").desc(), F.col("weak").desc(), "min_conf", "image_id").limit(2000).join(v.h, "image_id", "left").join(v.pick().select("image_id", "split"), "image_id")
-    rows = sorted((r.asDict() for r in top.collect()), key=lambda r: (-r["missed"], -r["weak"], r["min_conf"], r["image_id"]))
-    asked = spark.createDataFrame([(r["image_id"], r["phash"]) for r in rows if r["split"] != "test"], "id bigint, phash bigint")
+    scratch = Scratch(v.spark, "f2")
+    hard = _hard(v).where("missed + weak > 0").join(v.h.select("image_id", "phash"), "image_id", "left").join(v.pick().select("image_id", "split"), "image_id")
+    hard = hard.where("split IS DISTINCT FROM 'test'").select("image_id", "phash", (-F.col("missed")).alias("missed"), (-F.col("weak")).alias("weak"), "min_conf")
+    ranked = scratch.keep(rank_in_groups(hard, [], ["missed", "weak", "min_conf", "image_id"], scratch))
     pool = v.pick().where("split = 'test'").join(v.h, "image_id").select(F.col("image_id").cast("string").alias("name"), "phash")
-    near = {r["id"]: r["distance"] for r in nearest(asked, pool, Scratch(spark, "f2"), 12).collect()}
-    ranked = M.novel_top_k([{"name": r["image_id"], "phash": r["phash"]} for r in rows if r["split"] != "test"], near, 300, 12)
-    return spark.createDataFrame([(r["name"], i, r["fate"]) for i, r in enumerate(ranked)], "image_id bigint, rank int, fate string")
+    near = nearest(ranked.select(F.col("image_id").alias("id"), "phash"), pool, scratch, DEFAULTS.mining_dedup_dist).select(F.col("id").alias("image_id"))
+    return M.novel_fates(ranked, near, scratch, DEFAULTS.mining_max, DEFAULTS.mining_dedup_dist)
 
 
 @query(f"""WITH {LOG}, items AS (SELECT DISTINCT 'picture_' || user_id AS name, 'ds' || (user_id % 7) AS dataset FROM events), s AS (SELECT name, dataset, CASE WHEN decision IN ('select', 'discard') THEN decision ELSE 'todo' END AS status FROM items LEFT JOIN decided USING (name))

@@ -493,3 +493,14 @@ def test_cross_split_groups(spark, clicked):
     got = Sim.cross_split_groups(spark.createDataFrame(valid, schema), spark.createDataFrame(train, schema), Scratch(spark, "t"), 6, dismissed=out).collect()
     assert {tuple(r) for r in got} == want and len(got) == len(want)
     assert any(r.distance > 6 for r in got)
+
+
+@pytest.mark.parametrize("most", [3, 40, 10_000])
+def test_novel_fates_of_all_candidates(spark, most):
+    rng = random.Random(most)
+    rows = [(i, i, h) for i, (_, h, _) in enumerate(hashes(rng, 240))]
+    pool = {i for i, _, _ in rows if rng.random() < 0.2}
+    want = {(r["name"], k, r["fate"]) for k, r in enumerate(M.novel_top_k([{"name": i, "phash": h} for i, _, h in rows], {i: 1 for i in pool}, most, 12))}
+    df = spark.createDataFrame(rows, "image_id bigint, rank bigint, phash bigint")
+    got = M.novel_fates(df, spark.createDataFrame([(i,) for i in pool], "image_id bigint"), Scratch(spark, "t"), most, 12, batch=16)
+    assert {tuple(r) for r in got.collect()} == want

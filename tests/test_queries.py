@@ -61,3 +61,14 @@ def test_pairs_of_one_name_at_any_distance(spark, tmp_path):
     spark.createDataFrame([(1, 0, 0), (2, 2**20 - 1, 2**30 - 1), (3, 2**20 - 1, 2**30 - 1)], "image_id bigint, phash bigint, phash_mirror bigint").write.parquet(f"{tmp_path}/hashes.parquet")
     assert [tuple(r) for r in QUERIES["e12_suspicious_groups"](spark, str(tmp_path)).collect()] == [(1, 2, 20, 1, 0)]
     assert [tuple(r) for r in QUERIES["d14_same_name_pairs"](spark, str(tmp_path)).collect()] == [(1, 2, 20, False)]
+
+
+def test_every_hard_example_has_a_fate(spark, tmp_path):
+    """More candidates than the 2,000 that were once tried, all look-alikes but the last."""
+    n = 2100
+    spark.createDataFrame([(i, f"x/ds/train/images/{i}.jpg", "ds", None, 640, 480, 1) for i in range(n)], "image_id bigint, image_path string, dataset_id string, split string, width int, height int, indexed_at bigint").write.parquet(f"{tmp_path}/image_index.parquet")
+    spark.createDataFrame([(i, 0 if i < n - 1 else -1, 0) for i in range(n)], "image_id bigint, phash bigint, phash_mirror bigint").write.parquet(f"{tmp_path}/hashes.parquet")
+    # det has the confidence 0 for these numbers, so that all boxes are missed alike
+    spark.createDataFrame([(i, (-i * 31 * 53) % 100, 80, 0.5, 0.5, 0.2, 0.2) for i in range(n)], "image_id bigint, box_ord int, class_id int, xc double, yc double, w double, h double").write.parquet(f"{tmp_path}/boxes.parquet")
+    got = {r.image_id: r.fate for r in QUERIES["f2_novel_hard_examples"](spark, str(tmp_path)).collect()}
+    assert len(got) == n and [i for i, f in got.items() if f == "kept"] in ([0, n - 1], [n - 1, 0])
