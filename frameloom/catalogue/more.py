@@ -113,12 +113,13 @@ def c32_metric_lines(v: Views) -> DataFrame:
 
 @query()
 def e9_detection_duplicates(v: Views) -> DataFrame:
-    """Groups of pictures of a dataset whose boxes match one by one at least four times."""
+    """Pictures of a dataset whose boxes match one by one at least four times, each with its group and the group's size."""
     scratch = Scratch(v.spark, "e9")
     b = v.bx.join(v.pick().select("image_id", "dataset"), "image_id").select("image_id", "dataset", "class_id", F.col("box_ord").alias("ord"), "xc", "yc", "w", "h")
     pairs = M.box_twins(b, scratch)
     comp = connected_components(pairs.select("a", F.col("z").alias("b")), scratch)
-    return comp.groupBy("component").agg(F.count(F.lit(1)).alias("size"), F.min("id").alias("first"), F.max("id").alias("last"))
+    size = comp.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
+    return comp.join(size, "component").select(F.col("id").alias("image_id"), "component", "size")
 
 
 @query(f"WITH {BX}, n AS (SELECT image_id, class_id, list({{'x': xc - w / 2e0, 'o': box_ord}} ORDER BY box_ord) AS l FROM bx GROUP BY image_id, class_id) SELECT image_id, class_id, len(l) AS n, round(l[1].x, 9) AS first_x FROM n")

@@ -72,3 +72,11 @@ def test_every_hard_example_has_a_fate(spark, tmp_path):
     spark.createDataFrame([(i, (-i * 31 * 53) % 100, 80, 0.5, 0.5, 0.2, 0.2) for i in range(n)], "image_id bigint, box_ord int, class_id int, xc double, yc double, w double, h double").write.parquet(f"{tmp_path}/boxes.parquet")
     got = {r.image_id: r.fate for r in QUERIES["f2_novel_hard_examples"](spark, str(tmp_path)).collect()}
     assert len(got) == n and [i for i, f in got.items() if f == "kept"] in ([0, n - 1], [n - 1, 0])
+
+
+def test_detection_duplicates_have_their_members(spark, tmp_path):
+    n = 3
+    spark.createDataFrame([(i, f"x/ds/train/images/{i}.jpg", "ds", None, 1) for i in range(n + 1)], "image_id bigint, image_path string, dataset_id string, split string, indexed_at bigint").write.parquet(f"{tmp_path}/image_index.parquet")
+    boxes = [(i, k, k, 0.1 + 0.2 * k, 0.5, 0.1, 0.1) for i in range(n) for k in range(4)] + [(n, k, k, 0.5, 0.5, 0.9, 0.9) for k in range(4)]
+    spark.createDataFrame(boxes, "image_id bigint, box_ord int, class_id int, xc double, yc double, w double, h double").write.parquet(f"{tmp_path}/boxes.parquet")
+    assert {tuple(r) for r in QUERIES["e9_detection_duplicates"](spark, str(tmp_path)).collect()} == {(i, 0, n) for i in range(n)}
