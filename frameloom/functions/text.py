@@ -61,3 +61,21 @@ def model_spec(text: Column) -> Column:
 def manual_part(readme: Column, marker: str) -> Column:
     """What follows the end marker of the generated part; all of it if there is no marker."""
     return F.when(F.contains(readme, F.lit(marker)), F.substring_index(readme, marker, -1)).otherwise(readme)
+
+
+def three_places(x: Column) -> Column:
+    """A double of under 1e12 with three places, rounded as C's `%.3f`: by its exact binary value, exact ties to even.
+
+    Java's format rounds the shortest decimal that stands for the double, so it goes up where that ends in a 5.
+    """
+    exact = x.cast("decimal(38,24)")
+    whole = F.floor(exact * F.lit(1000))
+    rest = exact * F.lit(1000) - whole
+    # Where the shortest decimal is a tie, the sign of 2000 x - (2 whole + 1), from halves of x whose products are exact.
+    c = x * F.lit(134217729.0)
+    high = c - (c - x)
+    over = (high * F.lit(2000.0) - (whole * 2 + 1).cast("double")) + (x - high) * F.lit(2000.0)
+    up = F.when(rest == F.lit(0.5).cast("decimal(2,1)"), (over > 0) | ((over == 0) & (F.pmod(whole, F.lit(2)) == 1))).otherwise(rest > F.lit(0.5).cast("decimal(2,1)"))
+    n = whole + up.cast("int")
+    text = (n.cast("decimal(30,0)") / F.lit(1000)).cast("decimal(30,3)").cast("string")
+    return F.when((x < 0) & (n == 0), "-0.000").otherwise(text)

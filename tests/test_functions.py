@@ -116,3 +116,15 @@ def test_params_from_env(monkeypatch):
     monkeypatch.setenv("FRAMELOOM_LOOKALIKE_CLASSES", "1, 2")
     p = Params.from_env()
     assert p.closeup_area == 0.5 and p.lookalike_classes == (1, 2)
+
+
+def test_three_places_as_in_c(spark):
+    import random
+
+    from frameloom.functions.text import three_places
+
+    rng = random.Random(1)
+    xs = [k / 2000 for k in range(-41, 4001)] + [k / 16 for k in range(-9, 33)] + [rng.random() for _ in range(500)] + [round(rng.random(), 9) for _ in range(500)] + [0.0625, 0.1875, 1234.5675, -0.0001, 0.0]
+    got = spark.createDataFrame([(x,) for x in xs], "x double").select("x", three_places(F.col("x")).alias("s")).collect()
+    assert [(r.x, r.s) for r in got if r.s != f"{r.x:.3f}"] == []
+    assert spark.range(1).select(three_places(F.lit(None).cast("double"))).first()[0] is None

@@ -80,3 +80,13 @@ def test_detection_duplicates_have_their_members(spark, tmp_path):
     boxes = [(i, k, k, 0.1 + 0.2 * k, 0.5, 0.1, 0.1) for i in range(n) for k in range(4)] + [(n, k, k, 0.5, 0.5, 0.9, 0.9) for k in range(4)]
     spark.createDataFrame(boxes, "image_id bigint, box_ord int, class_id int, xc double, yc double, w double, h double").write.parquet(f"{tmp_path}/boxes.parquet")
     assert {tuple(r) for r in QUERIES["e9_detection_duplicates"](spark, str(tmp_path)).collect()} == {(i, 0, n) for i in range(n)}
+
+
+FILTERS = {"a52_selected_frames": " WHERE image_id % 50 = 0", "m4_sampled_frames": " WHERE image_id % 100 = 0", "a59_merge_guard": " AND image_id % 5 = 0", "c32_metric_lines": " WHERE epoch < 5 AND round(map50 * 1e4) % 10 <> 5"}
+
+
+@pytest.mark.parametrize("name", sorted(FILTERS))
+def test_all_rows(spark, small, duck, name):
+    """The registered SQL takes a part of the rows; here it runs over all."""
+    assert SQL[name].count(FILTERS[name]) == 1
+    assert_same(QUERIES[name](spark, small), duck, SQL[name].replace(FILTERS[name], ""))
