@@ -253,9 +253,9 @@ def k3_first_version(v: Views) -> DataFrame:
 
 @query()
 def k6_placement(v: Views) -> DataFrame:
-    """Errors among the events of one day stand for undo."""
-    log = v.table("events").where("ts < timestamp'2024-01-02 00:00:00'").select(F.col("event_id").alias("seq"), F.when(F.col("event_type") == "error", "undo").when(F.col("event_type") == "signup", "exclude").otherwise("move").alias("action"), F.concat(F.lit("picture_"), F.col("user_id")).alias("name"), F.lit("train").alias("from_split"))
-    return R.placement(log).select("name", "action")
+    """Errors among the events stand for undo."""
+    log = v.table("events").select(F.col("event_id").alias("seq"), F.when(F.col("event_type") == "error", "undo").when(F.col("event_type") == "signup", "exclude").otherwise("move").alias("action"), F.concat(F.lit("picture_"), F.col("user_id")).alias("name"), F.lit("train").alias("from_split"))
+    return R.placement(log, Scratch(v.spark, "k6")).select("name", "action")
 
 
 @query(f"""WITH {IMG}, {BX}, {SB}, i AS (SELECT image_id, ord, (x2 - x1) * (y2 - y1) AS area FROM sb WHERE x1 <= 320 AND x2 >= 320 AND y1 <= 240 AND y2 >= 240) SELECT image_id, arg_min(ord, (area, ord)) AS ord, round(min(area), 6) AS area FROM i GROUP BY image_id""")

@@ -504,3 +504,37 @@ def test_novel_fates_of_all_candidates(spark, most):
     df = spark.createDataFrame(rows, "image_id bigint, rank bigint, phash bigint")
     got = M.novel_fates(df, spark.createDataFrame([(i,) for i in pool], "image_id bigint"), Scratch(spark, "t"), most, 12, batch=16)
     assert {tuple(r) for r in got.collect()} == want
+
+
+@pytest.mark.parametrize("undo", [0.3, 0.5, 0.6])
+def test_placement_over_many_partitions(spark, undo):
+    rng = random.Random(undo)
+    rows = [(i * 3, rng.choice([None, "move", "exclude"]) if rng.random() > undo else "undo", f"n{rng.randrange(40)}", f"s{rng.randrange(3)}") for i in range(600)]
+    stack = []
+    for r in rows:
+        if r[1] != "undo":
+            stack.append(r)
+        elif stack:
+            stack.pop()
+    want = {r[2]: (r[1] or "move", r[3]) for r in stack}
+    df = spark.createDataFrame(rng.sample(rows, len(rows)), "seq bigint, action string, name string, from_split string")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = R.placement(df, Scratch(spark, "t")).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert {r.name: (r.action, r.from_split) for r in got} == want
+
+
+def test_placement_takes_the_whole_log(spark, small):
+    from frameloom.catalogue.reports import k6_placement
+    from frameloom.catalogue.views import Views
+
+    v = Views(spark, small)
+    stack = []
+    for r in v.table("events").orderBy("event_id").collect():
+        if r.event_type != "error":
+            stack.append((f"picture_{r.user_id}", "exclude" if r.event_type == "signup" else "move"))
+        elif stack:
+            stack.pop()
+    assert {r.name: r.action for r in k6_placement(v).collect() if r.name} == {k: a for k, a in dict(stack).items() if k != "picture_None"}
