@@ -187,6 +187,10 @@ def _matched(v: Views) -> DataFrame:
     return M.exclusive_matches(v.sb, v.det)
 
 
+def _average_precision(v: Views, scratch: Scratch) -> DataFrame:
+    return E.mean_average_precision(v.sb, v.det, M.matches_by_threshold(v.sb, v.det, scratch, E.IOU_THRESHOLDS))
+
+
 @query()
 def i1_size_breakdown(v: Views) -> DataFrame:
     return E.size_breakdown(M.exclusive_matches(v.sb.where("class_id = 80"), v.det.where("class_id = 80 AND conf >= 0.25")))
@@ -194,7 +198,8 @@ def i1_size_breakdown(v: Views) -> DataFrame:
 
 @query()
 def i2_average_precision(v: Views) -> DataFrame:
-    return E.average_precision(_matched(v))
+    """AP at an overlap of 0.5, and the mean over 0.5 to 0.95; i4 has precision and recall."""
+    return _average_precision(v, Scratch(v.spark, "i2"))
 
 
 @query(f"""WITH {IMG}, {BX}, {SB}, {DET}, b AS (SELECT a.split, a.image_id, a.ord, coalesce(max(d.conf), 0e0) AS conf FROM sb a LEFT JOIN (SELECT * FROM det WHERE class_id = 80) d ON a.image_id = d.image_id AND {iou_sql('a', 'd')} >= 5e-1 WHERE a.class_id = 80 GROUP BY ALL)
@@ -207,7 +212,9 @@ def i3_mining_totals(v: Views) -> DataFrame:
 
 @query()
 def i4_curve_at_confidence(v: Views) -> DataFrame:
-    return E.at_confidence(E.precision_recall(_matched(v)), 0.5)
+    """Precision and recall at a confidence of 0.5, null for a class of no predictions, and the APs."""
+    curve = E.at_confidence(E.precision_recall(_matched(v)), 0.5)
+    return _average_precision(v, Scratch(v.spark, "i4")).drop("positives").join(curve, "class_id", "left").select("class_id", "precision", "recall", "ap50", "ap50_95")
 
 
 @query()

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from frameloom.functions.geometry import size_bucket
 
+IOU_THRESHOLDS = tuple(x / 100 for x in range(50, 100, 5))
+
 
 def size_breakdown(matched: DataFrame) -> DataFrame:
     """(bucket, tp, fn, fp, recall): true boxes by their own size, false predictions by theirs; recall null of none."""
@@ -35,6 +37,25 @@ def average_precision(matched: DataFrame) -> DataFrame:
     return truth.join(area, "class_id", "left").withColumn("ap", F.coalesce("ap", F.lit(0.0)))
 
 
+def mean_average_precision(truth: DataFrame, predictions: DataFrame, matches: DataFrame, thresholds: tuple[float, ...] = IOU_THRESHOLDS) -> DataFrame:
+    """(class_id, positives, ap50, ap50_95): average precision at the first of the thresholds, and its mean over all.
+
+    matches: `matching.matches_by_threshold`. Per threshold as `average_precision`.
+    """
+    positives = truth.groupBy("class_id").agg(F.count(F.lit(1)).alias("positives"))
+    at = F.explode(F.array(*(F.lit(float(x)) for x in thresholds))).alias("iou_min")
+    said = predictions.groupBy("class_id", "conf").agg(F.count(F.lit(1)).alias("n")).select("class_id", "conf", "n", at)
+    hit = matches.groupBy("class_id", "iou_min", "conf").agg(F.count(F.lit(1)).alias("t"))
+    steps = said.join(hit, ["class_id", "iou_min", "conf"], "left").join(positives, "class_id")
+    w = Window.partitionBy("class_id", "iou_min").orderBy(F.col("conf").desc())
+    run = steps.withColumns({"tp": F.sum(F.coalesce("t", F.lit(0))).over(w), "all_": F.sum("n").over(w)})
+    run = run.withColumns({"recall": F.col("tp") / F.col("positives"), "precision": F.col("tp") / F.col("all_")})
+    run = run.withColumns({"envelope": F.max("precision").over(w.rowsBetween(0, Window.unboundedFollowing)), "step": F.col("recall") - F.coalesce(F.lag("recall").over(w), F.lit(0.0))})
+    ap = run.groupBy("class_id", "iou_min").agg(F.sum(F.col("step") * F.col("envelope")).alias("ap"))
+    both = ap.groupBy("class_id").agg(F.max(F.when(F.col("iou_min") == float(thresholds[0]), F.col("ap"))).alias("ap50"), (F.sum("ap") / F.lit(len(thresholds))).alias("ap50_95"))
+    return positives.join(both, "class_id", "left").select("class_id", "positives", *(F.coalesce(c, F.lit(0.0)).alias(c) for c in ("ap50", "ap50_95")))
+
+
 def at_confidence(curve: DataFrame, conf: float) -> DataFrame:
     """(class_id, precision, recall) at a confidence, linearly between the neighbouring points of the curve.
 

@@ -538,3 +538,32 @@ def test_placement_takes_the_whole_log(spark, small):
         elif stack:
             stack.pop()
     assert {r.name: r.action for r in k6_placement(v).collect() if r.name} == {k: a for k, a in dict(stack).items() if k != "picture_None"}
+
+
+def test_average_precision_at_ten_thresholds(spark):
+    rng = random.Random(5)
+    t, p = [], []
+    for i in range(8):
+        for k in range(6):
+            x, y, c = rng.uniform(0, 60), rng.uniform(0, 60), rng.randrange(2)
+            t.append((i, c, k, x, y, x + 20, y + 20))
+            dx, dy = rng.uniform(-5, 5), rng.uniform(-5, 5)
+            p.append((i, c, k, x + dx, y + dy, x + 20 + dx, y + 20 + dy, rng.randrange(10) / 10))
+    t.append((9, 7, 0, 0.0, 0.0, 5.0, 5.0))  # a class without predictions
+    schema = "image_id bigint, class_id int, ord int, x1 double, y1 double, x2 double, y2 double"
+    shape = lambda d: d.withColumn("b", F.struct("x1", "y1", "x2", "y2")).withColumn("pixels", F.lit(100.0))
+    truth, found = shape(spark.createDataFrame(t, schema)), shape(spark.createDataFrame(p, schema + ", conf double"))
+    got = {r.class_id: r for r in E.mean_average_precision(truth, found, M.matches_by_threshold(truth, found, Scratch(spark, "t"), E.IOU_THRESHOLDS)).collect()}
+    per = [{r.class_id: r.ap for r in E.average_precision(M.exclusive_matches(truth, found, x)).collect()} for x in E.IOU_THRESHOLDS]
+    assert len(per) == 10 and set(got) == set(per[0]) == {0, 1, 7}
+    for c, r in got.items():
+        assert r.ap50 == pytest.approx(per[0][c]) and r.ap50_95 == pytest.approx(sum(x[c] for x in per) / 10)
+    assert got[0].ap50 > got[0].ap50_95 > 0
+
+
+def test_average_precision_queries_have_both(spark, small):
+    from frameloom.catalogue.reports import i2_average_precision, i4_curve_at_confidence
+    from frameloom.catalogue.views import Views
+
+    assert i2_average_precision(Views(spark, small)).columns == ["class_id", "positives", "ap50", "ap50_95"]
+    assert i4_curve_at_confidence(Views(spark, small)).columns == ["class_id", "precision", "recall", "ap50", "ap50_95"]
