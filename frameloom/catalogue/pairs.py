@@ -74,7 +74,7 @@ def d12_largest_overlap(v: Views) -> DataFrame:
     return M.largest_overlap(v.sb.where("class_id = 0"), v.sb.where("class_id = 80")).withColumn("shared", F.round("shared", 6))
 
 
-_LIMITED = f"{IMG}, {H}, {CAT}, {EFF}, e1 AS (SELECT dataset, max(phash_max) AS most FROM eff GROUP BY dataset), l AS (SELECT image_id, phash, dataset, least(coalesce(most, 8), 8) AS most FROM img JOIN hs USING (image_id) LEFT JOIN e1 USING (dataset) WHERE phash IS NOT NULL)"
+_LIMITED = f"{IMG}, {H}, {CAT}, {EFF}, e1 AS (SELECT dataset, max(phash_max) AS most FROM eff GROUP BY dataset), l AS (SELECT image_id, phash, dataset, coalesce(most, 8) AS most FROM img JOIN hs USING (image_id) LEFT JOIN e1 USING (dataset) WHERE phash IS NOT NULL)"
 
 
 def _limited(v: Views) -> DataFrame:
@@ -204,7 +204,7 @@ def e5_duplicates(v: Views) -> DataFrame:
     return r.join(keeper, "component").select(F.col("id").alias("image_id"), "component", F.col("k.id").alias("keeper"), F.col("n").alias("n_boxes"))
 
 
-@query(f"""WITH RECURSIVE {IMG}, {H}, x AS (SELECT image_id, phash FROM img JOIN hs USING (image_id) WHERE phash IS NOT NULL), e AS (SELECT x.image_id AS v, y.image_id AS u FROM x JOIN x y ON x.image_id <> y.image_id AND bit_count(xor(x.phash, y.phash)) <= 4), {COMPONENTS},
+@query(f"""WITH RECURSIVE {IMG}, {H}, x AS (SELECT image_id, phash FROM img JOIN hs USING (image_id) WHERE phash IS NOT NULL), e AS (SELECT x.image_id AS v, y.image_id AS u FROM x JOIN x y ON x.image_id <> y.image_id AND bit_count(xor(x.phash, y.phash)) <= 8), {COMPONENTS},
 {BX}, k AS (SELECT image_id, class_id, count(*) AS n FROM bx GROUP BY ALL), n AS (SELECT image_id, sum(n) AS n FROM k GROUP BY image_id),
 r AS (SELECT v AS image_id, first_value(v) OVER (PARTITION BY g ORDER BY coalesce(n, 0) DESC, v) AS keeper FROM cc LEFT JOIN n ON n.image_id = v),
 s AS (SELECT r.image_id, keeper, (SELECT sum(least(coalesce(a.n, 0), coalesce(b.n, 0)))::DOUBLE / nullif(sum(greatest(coalesce(a.n, 0), coalesce(b.n, 0))), 0)::DOUBLE FROM (SELECT * FROM k WHERE k.image_id = r.image_id) a FULL JOIN (SELECT * FROM k WHERE k.image_id = r.keeper) b USING (class_id) WHERE a.image_id IS NOT NULL OR b.image_id IS NOT NULL) AS sim,
@@ -235,7 +235,7 @@ def e11_signatures(v: Views) -> DataFrame:
 
 
 @query(f"""WITH {IMG}, {H}, v AS (SELECT image_id, base, phash FROM img JOIN hs USING (image_id) WHERE split = 'valid'), t AS (SELECT image_id, base, phash, phash_mirror FROM img JOIN hs USING (image_id) WHERE split = 'train'),
-j AS (SELECT v.image_id AS a, t.image_id AS b, least(bit_count(xor(v.phash, t.phash)), bit_count(xor(v.phash, t.phash_mirror))) AS d FROM v, t WHERE v.phash IS NOT NULL AND t.phash IS NOT NULL AND t.phash_mirror IS NOT NULL AND d <= 6),
+j AS (SELECT v.image_id AS a, t.image_id AS b, least(bit_count(xor(v.phash, t.phash)), bit_count(xor(v.phash, t.phash_mirror))) AS d FROM v, t WHERE v.phash IS NOT NULL AND t.phash IS NOT NULL AND t.phash_mirror IS NOT NULL AND (d <= 6 OR v.base = t.base)),
 r AS (SELECT *, row_number() OVER (PARTITION BY a ORDER BY d, b) AS r, count(*) OVER (PARTITION BY a) AS n FROM j)
 SELECT a, b, d::INT AS distance, r::INT AS rank, greatest(n - 12, 0) AS extra FROM r WHERE r <= 12""")
 def e12_suspicious_groups(v: Views) -> DataFrame:
@@ -290,7 +290,7 @@ def f9_top_datasets(v: Views) -> DataFrame:
     return n.withColumn("rank", F.row_number().over(w)).where("rank <= 5").select("split", "class_id", "dataset", "n", "rank")
 
 
-@query(f"""WITH {IMG}, v AS (SELECT image_id, 500 + image_id % 100 AS n_frames, (24 + image_id % 7)::DOUBLE AS fps FROM img WHERE image_id % 50 = 0),
+@query(f"""WITH {IMG}, v AS (SELECT image_id, 500 + image_id % 100 AS n_frames, (24 + image_id % 7)::DOUBLE AS fps FROM img),
 f AS (SELECT image_id AS video, n_frames, fps, unnest(range(0, (n_frames / (fps / 2e0))::INT + 2)) AS nth FROM v), g AS (SELECT *, CAST(round_even(nth * (fps / 2e0), 0) AS BIGINT) AS r FROM f), i AS (SELECT *, greatest(r, nth) AS idx FROM g)
 SELECT video, nth::INT AS nth, idx, round(idx / fps, 9) AS seconds FROM i WHERE idx < n_frames""")
 def a52_selected_frames(v: Views) -> DataFrame:
