@@ -1,9 +1,10 @@
 """Joins on the distance of 64-bit picture hashes.
 
 Two hashes that differ in at most T bits agree in one of T + 1 words; rows are partitioned
-by (position, word) and compared within a partition on whole arrays, a group at a time and
-in blocks, each pair at its first word in common. Different hash values are compared, not
-rows; rows come back by a join on the value.
+by (position, word) and compared within a partition on whole arrays, each pair at its first
+word in common. Words that too many values share get a second word in their key, taken from
+the other bits, so that groups shrink as data grow; what is still crowded is cut into cells
+on both sides. Different hash values are compared, not rows; rows come back by a join on the value.
 """
 
 from __future__ import annotations
@@ -22,90 +23,150 @@ from frameloom.plans.ranks import rank_in_groups
 from frameloom.plans.scratch import Scratch, spread
 
 BLOCK = 2048
+AT_ONCE = 2_000_000  # pairs
+LEAST_WORDS = 4  # of at most 16 bits
 
 
-def words(threshold: int) -> list[tuple[int, int]]:
-    """(first bit, bits) of threshold + 1 words that cover all 64 bits."""
-    parts = np.array_split(np.arange(64), threshold + 1)
-    return [(int(p[0]), len(p)) for p in parts]
+def _cut(bits: list[int], parts: int) -> list[int]:
+    """Masks that cut the given bits into so many words."""
+    return [sum(1 << int(b) for b in part) for part in np.array_split(np.array(bits, int), parts)]
 
 
-def _mask(lo: int, n: int) -> np.uint64:
-    return np.uint64(((1 << n) - 1) << lo)
+def words(threshold: int) -> list[int]:
+    """Masks of words that cover all 64 bits, more of them than `threshold`."""
+    return _cut(list(range(64)), max(threshold + 1, LEAST_WORDS))
 
 
-def _equal(left: np.ndarray, right: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Places (i, j) with left[i] == right[j], some million at a time."""
-    order = np.argsort(right, kind="stable")
-    ranked = right[order]
-    lo = np.searchsorted(ranked, left, "left")
-    n = np.searchsorted(ranked, left, "right") - lo
-    at = np.flatnonzero(n)
-    done = 0
-    total = np.cumsum(n[at])
+def _rest(mask: int) -> list[int]:
+    return [b for b in range(64) if not mask >> b & 1]
+
+
+def _subwords(threshold: int) -> list[list[int]]:
+    """For each word, masks that cut the bits outside of it into threshold + 1 words or more."""
+    return [_cut(_rest(w), max(threshold + 1, LEAST_WORDS)) for w in words(threshold)]
+
+
+def _in_blocks(at: np.ndarray, n: np.ndarray, first: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places (i, j): at[x] with first[x], first[x] + 1 ... n[x] times, some million at a time."""
+    total, done = np.cumsum(n), 0
     while done < len(at):
-        end = max(done + 1, int(np.searchsorted(total, (total[done - 1] if done else 0) + 4_000_000, "right")))
-        k = at[done:end]
-        m = n[k]
+        end = max(done + 1, int(np.searchsorted(total, (total[done - 1] if done else 0) + AT_ONCE, "right")))
+        m = n[done:end]
         begin = np.cumsum(m) - m
-        yield np.repeat(k, m), order[np.arange(m.sum()) - np.repeat(begin - lo[k], m)]
+        yield np.repeat(at[done:end], m), np.arange(m.sum()) + np.repeat(first[done:end] - begin, m)
         done = end
 
 
-def _compare(position: int, left: np.ndarray, right: np.ndarray, threshold: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs within the threshold of a group that agree in no word before `position`.
+def _equal(left: np.ndarray, right: np.ndarray | None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places (i, j) with left[i] == right[j]; without `right` pairs of different places of left, each once."""
+    order = np.argsort(left)
+    s = left[order]
+    if right is None:
+        n = len(s)
+        ends = np.append(np.flatnonzero(s[1:] != s[:-1]) + 1, n)
+        after = np.repeat(ends, np.diff(ends, prepend=0)) - np.arange(n) - 1
+        at = np.flatnonzero(after)
+        for i, j in _in_blocks(at, after[at], at + 1):
+            yield order[i], order[j]
+        return
+    order_r = np.argsort(right)
+    ranked = right[order_r]
+    lo = np.searchsorted(ranked, s, "left")
+    n = np.searchsorted(ranked, s, "right") - lo
+    at = np.flatnonzero(n)
+    for i, j in _in_blocks(at, n[at], lo[at]):
+        yield order[i], order_r[j]
+
+
+def _n_pairs(left: np.ndarray, right: np.ndarray | None) -> tuple[float, int]:
+    """How many pairs agree, and in how many groups."""
+    a, na = np.unique(left, return_counts=True)
+    if right is None:
+        return float((na.astype(float) * (na - 1)).sum() / 2), len(a)
+    b, nb = np.unique(right, return_counts=True)
+    _, i, j = np.intersect1d(a, b, assume_unique=True, return_indices=True)
+    return float((na[i].astype(float) * nb[j]).sum()), len(i)
+
+
+def _compare(own: int, differ: list[int], left: np.ndarray, right: np.ndarray | None, threshold: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs that agree in the word `own`, in no word of `differ`, and differ in at most `threshold` bits.
 
-    Small groups are compared as a whole. In large ones the other bits are cut into threshold + s
-    words, of which s are the same for sure: pairs are looked up by every choice of s words, and
-    found by the first s that are the same.
+    Without `right`, pairs of left values. Where many pairs agree, the other bits are cut into
+    threshold + s words, of which s are the same for sure: pairs are looked up by every choice of
+    s words, and found by the first s that are the same.
     """
-    cut = words(threshold)
-    earlier = [_mask(*w) for w in cut[:position]]
+    own_ = np.uint64(own)
+    pairs, groups = _n_pairs(left & own_, None if right is None else right & own_)
+    if not pairs:
+        return
 
-    def verified(x: np.ndarray, y: np.ndarray, differ: list) -> tuple[np.ndarray, np.ndarray]:
+    def verified(x: np.ndarray, y: np.ndarray, differ: list[int]) -> tuple[np.ndarray, np.ndarray]:
         d = x ^ y
-        near = np.bitwise_count(d) <= threshold
+        near = np.flatnonzero(np.bitwise_count(d) <= threshold)
         d, x, y = d[near], x[near], y[near]
         ok = np.ones(len(d), bool)
         for m in differ:
-            ok &= (d & m) != 0
+            ok &= (d & np.uint64(m)) != 0
         return x[ok], y[ok]
 
-    pairs = float(len(left)) * len(right)
-    rest = [b for b in range(64) if not cut[position][0] <= b < sum(cut[position])]
-    # Seconds a pair when compared as a whole, looked up, and a row when sorted.
-    cost = {0: pairs * 3e-9}
-    for s in range(1, 4):
+    rest, n = _rest(own), len(left) + (0 if right is None else len(right))
+    # Seconds of comparing groups as wholes, and of looking up by s further words: per pair, row and choice.
+    cost = {-1: pairs * 5e-9 + groups * 3e-5, 0: n * 6e-8 + pairs * 1.5e-8}
+    for s in range(1, 6):
         if threshold + s <= len(rest):
-            n = math.comb(threshold + s, s)
-            cost[s] = n * ((len(left) + len(right)) * 2e-7 + pairs / 2 ** (s * len(rest) / (threshold + s)) * 3e-8 + 1e-4)
+            cost[s] = math.comb(threshold + s, s) * (n * 6e-8 + pairs / 2 ** (s * len(rest) / (threshold + s)) * 1.5e-8 + 5e-5)
     s = min(cost, key=cost.get)
-    if not s:
-        for a in range(0, len(left), BLOCK):
-            x = left[a : a + BLOCK]
-            for b in range(0, len(right), BLOCK):
-                y = right[b : b + BLOCK]
-                i, j = np.nonzero(np.bitwise_count(x[:, None] ^ y[None, :]) <= threshold)
-                if len(i):
-                    yield verified(x[i], y[j], earlier)
+    if s < 0:
+        left = left[np.argsort(left & own_)]
+        keys, starts = np.unique(left & own_, return_index=True)
+        if right is not None:
+            right = right[np.argsort(right & own_)]
+            ranked = right & own_
+            lo, hi = np.searchsorted(ranked, keys, "left"), np.searchsorted(ranked, keys, "right")
+        for g, (a, b) in enumerate(zip(starts.tolist(), [*starts[1:].tolist(), len(left)])):
+            x_all = left[a:b]
+            y_all = x_all if right is None else right[lo[g] : hi[g]]
+            for i in range(0, len(x_all), BLOCK):
+                x = x_all[i : i + BLOCK]
+                for j in range(i if right is None else 0, len(y_all), BLOCK):
+                    y = y_all[j : j + BLOCK]
+                    p, q = np.nonzero(np.bitwise_count(x[:, None] ^ y[None, :]) <= threshold)
+                    if right is None and i == j:
+                        p, q = p[p < q], q[p < q]
+                    if len(p):
+                        yield verified(x[p], y[q], differ)
         return
-    masks = [np.uint64(sum(1 << b for b in part.tolist())) for part in np.array_split(np.array(rest), threshold + s)]
+    masks = _cut(rest, threshold + s) if s else []
     for chosen in combinations(range(len(masks)), s):
-        mask = np.bitwise_or.reduce([masks[c] for c in chosen])
-        differ = [*earlier, *(masks[c] for c in range(chosen[-1]) if c not in chosen)]
-        for i, j in _equal(left & mask, right & mask):
-            yield verified(left[i], right[j], differ)
+        mask = own_ | np.uint64(sum(masks[c] for c in chosen))
+        others = [*differ, *(masks[c] for c in range(chosen[-1]) if c not in chosen)] if chosen else differ
+        for i, j in _equal(left & mask, None if right is None else right & mask):
+            yield verified(left[i], (left if right is None else right)[j], others)
 
 
-def _near_of_partition(batches: Iterator[pa.RecordBatch], threshold: int) -> Iterator[pa.RecordBatch]:
-    held: list = []
+def _near_of_partition(batches: Iterator[pa.RecordBatch], threshold: int, both: bool, at_once: int = 400_000) -> Iterator[pa.RecordBatch]:
+    """Rows (c: position, second word and cell; k; value; side) sorted by c and k, some whole groups at a time."""
+    first, second = words(threshold), _subwords(threshold)
 
-    def groups(k: np.ndarray, v: np.ndarray, side: np.ndarray) -> Iterator[pa.RecordBatch]:
-        cut = np.flatnonzero(np.diff(k)) + 1
+    def batch(a: list, b: list) -> pa.RecordBatch:
+        x, y = np.concatenate(a), np.concatenate(b)
+        distance = np.bitwise_count(x ^ y).astype(np.int32)
+        if both:
+            u, v = x.view(np.int64), y.view(np.int64)
+            x, y = np.minimum(u, v), np.maximum(u, v)
+        return pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)), pa.array(y.view(np.int64)), pa.array(distance)], ["a", "b", "distance"])
+
+    def near(c: np.ndarray, v: np.ndarray, side: np.ndarray) -> Iterator[pa.RecordBatch]:
         some_a, some_b, n = [], [], 0
-        for a, b in zip([0, *cut.tolist()], [*cut.tolist(), len(k)]):
+        cuts = [0, *(np.flatnonzero(np.diff(c)) + 1).tolist(), len(c)]
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            position, sub = int(c[a]) >> 48, int(c[a]) >> 40 & 0xFF
+            own, differ = first[position], first[:position]
+            if sub:
+                own, differ = own | second[position][sub - 1], [*differ, *second[position][: sub - 1]]
             of, values = side[a:b], v[a:b]
-            for x, y in _compare(int(k[a]) >> 40, values[(of & 1) > 0], values[(of & 2) > 0], threshold):
+            alone = both and bool((of == 3).all())
+            for x, y in _compare(own, differ, values if alone else values[(of & 1) > 0], None if alone else values[(of & 2) > 0], threshold):
                 some_a.append(x)
                 some_b.append(y)
                 n += len(x)
@@ -115,43 +176,75 @@ def _near_of_partition(batches: Iterator[pa.RecordBatch], threshold: int) -> Ite
         if n:
             yield batch(some_a, some_b)
 
-    def batch(a: list, b: list) -> pa.RecordBatch:
-        x, y = np.concatenate(a), np.concatenate(b)
-        return pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)), pa.array(y.view(np.int64)), pa.array(np.bitwise_count(x ^ y).astype(np.int32))], ["a", "b", "distance"])
-
-    size = 0
+    held, size = [], 0
     for b in batches:
-        held.append((b.column("k").to_numpy(), b.column("value").to_numpy().view(np.uint64), b.column("side").to_numpy()))
+        held.append((b.column("c").to_numpy(), b.column("k").to_numpy(), b.column("value").to_numpy().view(np.uint64), b.column("side").to_numpy()))
         size += b.num_rows
-        if size >= 200_000:
-            k, v, s = (np.concatenate(x) for x in zip(*held))
-            end = int(np.searchsorted(k, k[-1]))
+        if size >= at_once:
+            c, k, v, s = (np.concatenate(x) for x in zip(*held))
+            last = np.flatnonzero((c != c[-1]) | (k != k[-1]))  # the last group may go on
+            end = int(last[-1]) + 1 if len(last) else 0
             if end:
-                yield from groups(k[:end], v[:end], s[:end])
-            held, size = [(k[end:], v[end:], s[end:])], 0
+                yield from near(c[:end], v[:end], s[:end])
+            held, size = [(c[end:], k[end:], v[end:], s[end:])], 0
     if held:
-        yield from groups(*(np.concatenate(x) for x in zip(*held)))
-
-
-def near_values(values: DataFrame, threshold: int, hot: int = 100_000) -> DataFrame:
-    """(a, b, distance) of values with side bit 1 and values with side bit 2 within `threshold` bits, equal ones too.
-
-    `values`: unique `value` bigint, `side` int, from a written table. Left values of a group of
-    more than `hot` are dealt to salts, its right values go to each; there are at most
-    (threshold + 1) * 2 ** ceil(64 / (threshold + 1)) groups, so thresholds under 3 or over 31 aren't taken.
+        c, k, v, s = (np.concatenate(x) for x in zip(*held))
+        if len(c):
+            yield from near(c, v, s)
+
+
+def _cells(rows: DataFrame, both: bool) -> DataFrame:
+    """Rows (c, k, value, side, cl, cr) of groups cut into cl parts of left and cr parts of right values, each part with each of the other side."""
+    part = lambda n: F.pmod(F.xxhash64(F.lit("part"), "value"), n)
+    cell = lambda i, j, side: F.struct((F.col("c") + i * F.lit(1 << 20) + j).alias("c"), F.lit(side).alias("side"))
+    each = lambda n: F.sequence(F.lit(0).cast("bigint"), n - 1)
+    if both:
+        i = part(F.col("cl"))
+        to = F.transform(each(F.col("cl")), lambda j: F.when(i == j, cell(i, j, 3)).when(i < j, cell(i, j, 1)).otherwise(cell(j, i, 2)))
+        return rows.select("value", "k", F.explode(to).alias("e")).select("value", "e.side", "e.c", "k")
+    left = rows.where("side & 1 = 1").select("value", "k", F.explode(F.transform(each(F.col("cr")), lambda j: cell(part(F.col("cl")), j, 1))).alias("e"))
+    right = rows.where("side & 2 = 2").select("value", "k", F.explode(F.transform(each(F.col("cl")), lambda i: cell(i, part(F.col("cr")), 2))).alias("e"))
+    return left.unionByName(right).select("value", "e.side", "e.c", "k")
+
+
+def near_values(values: DataFrame, threshold: int, both: bool = False, hot: int = 400_000) -> DataFrame:
+    """(a, b, distance) of values with side bit 1 and values with side bit 2 within `threshold` bits (0 to 64), equal ones too.
+
+    `values`: unique `value` bigint, `side` int, from a written table, as it is read twice. `both`: all
+    values are on both sides; each pair of different ones comes once, a < b. A group of more than `hot` values of
+    a side is cut into cells of that many; where that would send a value to more cells than there are words,
+    the group is cut by a second word first.
     """
-    if not 3 <= threshold <= 31:
-        raise ValueError("threshold must be from 3 to 31")
-    cut = words(threshold)
-    key = lambda i: F.lit(i << 40).bitwiseOR(F.shiftrightunsigned("value", cut[i][0]).bitwiseAND(F.lit((1 << cut[i][1]) - 1)))
-    keys = values.select("value", "side", F.explode(F.array(*map(key, range(len(cut))))).alias("k"))
-    crowded = keys.groupBy("k").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot).select(F.col("k").alias("hot_k"), F.ceil(F.col("n") / hot).alias("salts"))
-    salted = keys.join(crowded, F.col("k") == F.col("hot_k"), "left").withColumn("salts", F.coalesce("salts", F.lit(1)))
-    left = salted.where("side & 1 = 1").select("value", F.lit(1).alias("side"), "k", F.pmod(F.xxhash64("value"), "salts").alias("salt"))
-    right = salted.where("side & 2 = 2").select("value", F.lit(2).alias("side"), "k", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("salts") - 1)).alias("salt"))
-    dealt = left.unionByName(right).select("value", "side", F.col("k").bitwiseOR(F.shiftleft("salt", 20)).alias("k"))
+    threshold = min(threshold, 64)
+    if threshold < 0:
+        raise ValueError("threshold must not be negative")
+    cut, second = words(threshold), _subwords(threshold)
+    signed = lambda m: m - (1 << 64) if m >> 63 else m
+    masked = lambda m: F.col("value").bitwiseAND(F.lit(signed(m)).cast("bigint"))
+    keys = values.select("value", "side", F.explode(F.array(*(F.struct(F.lit(i << 48).cast("bigint").alias("c"), masked(m).alias("k")) for i, m in enumerate(cut)))).alias("e")).select("value", "side", "e.c", "e.k")
+
+    def crowded(rows: DataFrame) -> DataFrame:
+        n = rows.groupBy("c", "k").agg(F.count_if(F.col("side").bitwiseAND(1) == 1).alias("nl"), F.count_if(F.col("side").bitwiseAND(2) == 2).alias("nr"))
+        parts = lambda c: F.greatest(F.ceil(F.col(c) / F.lit(hot)), F.lit(1)).cast("bigint")
+        return n.where(F.greatest("nl", "nr") > hot).select(F.col("c").alias("hc"), F.col("k").alias("hk"), parts("nl").alias("cl"), parts("nr").alias("cr"))
+
+    at = lambda rows: (F.col("c") == F.col("hc")) & (F.col("k") == F.col("hk"))
+    full = crowded(keys)
+    plain = ["value", "side", "c", "k"]
+    dealt = keys
+    if not full.isEmpty():
+        # There are at most 4 * 2 ** 16 words.
+        j = keys.join(F.broadcast(full), at(keys), "left")
+        n_cells = F.col("cl") if both else F.greatest("cl", "cr")
+        dealt = j.where("hc IS NULL").select(*plain).unionByName(_cells(j.where(n_cells <= len(cut)), both))
+        masks = F.array(*(F.array(*(F.lit(signed(w | m)).cast("bigint") for m in of)) for w, of in zip(cut, second)))
+        finer = j.where(n_cells > len(cut)).select("value", "side", "c", F.posexplode(F.element_at(masks, F.shiftright("c", 48).cast("int") + 1)).alias("sub", "mask"))
+        finer = finer.select("value", "side", (F.col("c") + (F.col("sub") + 1).cast("bigint") * F.lit(1 << 40)).alias("c"), F.col("value").bitwiseAND(F.col("mask")).alias("k"))
+        j = finer.join(crowded(finer), at(finer), "left")
+        dealt = dealt.unionByName(j.where("hc IS NULL").select(*plain)).unionByName(_cells(j.where("hc IS NOT NULL"), both))
     # Comparing costs more than the rows weigh, so their partitions aren't put together by weight.
-    return dealt.repartition(spread(values.sparkSession), "k").sortWithinPartitions("k").mapInArrow(lambda x: _near_of_partition(x, threshold), "a bigint, b bigint, distance int")
+    rows = dealt.repartition(spread(values.sparkSession), "c", "k").sortWithinPartitions("c", "k")
+    return rows.mapInArrow(lambda x: _near_of_partition(x, threshold, both), "a bigint, b bigint, distance int")
 
 
 def hamming_self_pairs(rows: DataFrame, scratch: Scratch, most: int, id_: str = "id", value: str = "phash", limit: str | None = None, usual: int | None = None) -> DataFrame:
@@ -161,11 +254,12 @@ def hamming_self_pairs(rows: DataFrame, scratch: Scratch, most: int, id_: str =
     others at this distance; the result is the same.
     """
     known = scratch.keep(rows.where(F.col(value).isNotNull()).select(F.col(id_).alias("id"), F.col(value).alias("value"), (F.col(limit) if limit else F.lit(most)).alias("most")))
-    values = scratch.keep(known.select("value").distinct().withColumn("side", F.lit(3)))
-    near = near_values(values, most if usual is None else min(usual, most)).where("a <= b")
+    different = lambda d: scratch.keep(d.select("value").distinct().withColumn("side", F.lit(3)))
+    values = different(known)
+    near = near_values(values, most if usual is None else min(usual, most), both=True)
     if usual is not None and usual < most:
-        wide = scratch.keep(known.where(F.col("most") > usual).select("value").distinct().withColumn("side", F.lit(3)))
-        near = near.unionByName(near_values(wide, most).where((F.col("a") <= F.col("b")) & (F.col("distance") > usual)))
+        near = near.unionByName(near_values(different(known.where(F.col("most") > usual)), most, both=True).where(F.col("distance") > usual))
+    near = near.unionByName(values.select(F.col("value").alias("a"), F.col("value").alias("b"), F.lit(0).alias("distance")))
     left = known.select(F.col("id").alias("ia"), F.col("value").alias("a"), F.col("most").alias("ma"))
     right = known.select(F.col("id").alias("ib"), F.col("value").alias("b"), F.col("most").alias("mb"))
     pairs = near.join(left, "a").join(right, "b").where((F.col("distance") <= F.least("ma", "mb")) & ((F.col("a") != F.col("b")) | (F.col("ia") < F.col("ib"))))

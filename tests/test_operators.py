@@ -53,6 +53,14 @@ def test_connected_components(spark, seed):
     assert {r.id: r.component for r in got.collect()} == components(links)
 
 
+def test_connected_components_of_large_ids(spark):
+    """Ids whose sum passes 64 bits, of both signs."""
+    top, low = 2**62, -(2**62)
+    links = [(top + i, top + i + 1) for i in range(8)] + [(low - i, low - i - 1) for i in range(8)]
+    got = {(r.id, r.component) for r in connected_components(spark.createDataFrame(links, "a bigint, b bigint"), Scratch(spark, "t")).collect()}
+    assert got == {(top + i, top) for i in range(9)} | {(low - i, low - 8) for i in range(9)}
+
+
 def test_connected_components_of_nothing(spark):
     assert connected_components(spark.createDataFrame([], "a bigint, b bigint"), Scratch(spark, "t")).count() == 0
 
@@ -88,32 +96,41 @@ def test_hamming_joins(spark, most):
     assert got == want
 
 
-def test_hot_words_are_salted(spark):
-    values = spark.createDataFrame([(i << 40, 3) for i in range(200)], "value bigint, side int")
-    some = {(r.a, r.b) for r in Sim.near_values(values, 4, hot=20).collect()}
-    want = {(i << 40, j << 40) for i in range(200) for j in range(200) if bits(i, j) <= 4}
-    assert some == want
+@pytest.mark.parametrize("both", [True, False])
+@pytest.mark.parametrize("threshold,hot", [(0, 20), (2, 20), (4, 20), (8, 3), (40, 60)])
+def test_hot_words_are_cut(spark, threshold, hot, both):
+    """Values that agree in most words, in groups cut by second words and into cells, at any threshold."""
+    shift = 40
+    values = Scratch(spark, "t").keep(spark.createDataFrame([(i << shift, 3 if both else i % 3 + 1) for i in range(200)], "value bigint, side int"))
+    got = [(r.a >> shift, r.b >> shift, r.distance) for r in Sim.near_values(values, threshold, both, hot).collect()]
+    n = range(200)
+    want = {(i, j, bits(i, j)) for i in n for j in n if bits(i, j) <= threshold and (i < j if both else i % 3 + 1 in (1, 3) and j % 3 + 1 in (2, 3))}
+    assert len(got) == len(set(got)) and set(got) == want
 
 
 @pytest.mark.parametrize("threshold", [4, 8])
-def test_large_groups_lose_no_pair(threshold):
+@pytest.mark.parametrize("both", [True, False])
+def test_large_groups_lose_no_pair(threshold, both):
     import numpy as np
 
     rng = np.random.default_rng(threshold)
-    free = ~Sim._mask(*Sim.words(threshold)[1])
-    left = rng.integers(0, 2**63, 6000, dtype=np.uint64) & free
-    right = left.copy()
-    for k in range(len(right)):
-        for b in rng.choice([b for b in range(64) if int(free) >> b & 1], threshold, replace=False):
-            right[k] ^= np.uint64(1) << np.uint64(b)
-    found = [set(), set()]
-    for n, part in enumerate((slice(0, 6000), slice(0, 300))):
-        for x, y in Sim._compare(1, left[part], right[part], threshold):
-            assert not found[n] & set(zip(x.tolist(), y.tolist()))
-            found[n] |= set(zip(x.tolist(), y.tolist()))
-    word = Sim._mask(*Sim.words(threshold)[0])
-    want = {(int(x), int(y)) for x, y in zip(left, right) if (x ^ y) & word}
-    assert found[0] >= want and found[1] >= {(int(x), int(y)) for x, y in zip(left[:300], right[:300]) if (x ^ y) & word}
+    own, earlier = Sim.words(threshold)[1], Sim.words(threshold)[:1]
+    free = np.uint64(2**64 - 1 - own)
+    left = np.unique(rng.integers(0, 2**63, 3000).astype(np.uint64) & free)
+    near = left.copy()
+    for _ in range(threshold):
+        near ^= np.uint64(1) << rng.integers(0, 64, len(near)).astype(np.uint64)
+    near &= free
+    right = np.unique(np.concatenate([near, left[:100]]))
+    left = np.unique(np.concatenate([left, right])) if both else left
+    right = left if both else right
+    got = [(int(a), int(b)) for x, y in Sim._compare(own, earlier, left, None if both else right, threshold) for a, b in zip(x, y)]
+    d = left[:, None] ^ right[None, :]
+    i, j = np.nonzero((np.bitwise_count(d) <= threshold) & ((d & np.uint64(earlier[0])) != 0))
+    want = {(int(left[a]), int(right[b])) for a, b in zip(i, j)}
+    if both:
+        got, want = [tuple(sorted(p)) for p in got], {tuple(sorted(p)) for p in want if p[0] != p[1]}
+    assert len(got) == len(set(got)) and set(got) == want
 
 
 def test_thinning(spark):
