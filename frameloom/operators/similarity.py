@@ -28,8 +28,8 @@ LEAST_WORDS = 4  # of at most 16 bits
 
 
 def _cut(bits: list[int], parts: int) -> list[int]:
-    """Masks that cut the given bits into so many words."""
-    return [sum(1 << int(b) for b in part) for part in np.array_split(np.array(bits, int), parts)]
+    """Masks that deal the given bits to so many words, in turn, as bits next to each other are often alike."""
+    return [sum(1 << b for b in bits[i::parts]) for i in range(parts)]
 
 
 def words(threshold: int) -> list[int]:
@@ -57,25 +57,47 @@ def _in_blocks(at: np.ndarray, n: np.ndarray, first: np.ndarray) -> Iterator[tup
         done = end
 
 
-def _equal(left: np.ndarray, right: np.ndarray | None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Places (i, j) with left[i] == right[j]; without `right` pairs of different places of left, each once."""
-    order = np.argsort(left)
-    s = left[order]
+def _keyed(values: np.ndarray, mask: np.uint64) -> np.ndarray:
+    """Sorted numbers: 32 bits of a hash of the masked value, then 32 of its place. Sorting these is faster than by places."""
+    x = values & mask
+    x *= np.uint64(0x9E3779B97F4A7C15)
+    x &= np.uint64(0xFFFFFFFF << 32)
+    x |= np.arange(len(x), dtype=np.uint64)
+    x.sort()
+    return x
+
+
+def _equal(left: np.ndarray, right: np.ndarray | None, mask: np.uint64, threshold: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Values x of left and y of right within the threshold that agree in the mask, and by chance some others; without `right` pairs of left values, each once."""
+    half, low = np.uint64(32), np.uint64(0xFFFFFFFF)
+
+    def near(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = np.flatnonzero(np.bitwise_count(x ^ y) <= threshold)
+        return x[at], y[at]
+
+    packed = _keyed(left, mask)
+    s, x = packed >> half, left[(packed & low).view(np.int64)]
     if right is None:
         n = len(s)
         ends = np.append(np.flatnonzero(s[1:] != s[:-1]) + 1, n)
-        after = np.repeat(ends, np.diff(ends, prepend=0)) - np.arange(n) - 1
-        at = np.flatnonzero(after)
-        for i, j in _in_blocks(at, after[at], at + 1):
-            yield order[i], order[j]
+        after = np.repeat(ends, np.diff(ends, prepend=0)) - np.arange(n) - 1  # how many more are alike
+        step, most = 1, int(after.max())
+        while step <= most:
+            if 16 * np.count_nonzero(after >= step) < n:  # few long runs
+                at = np.flatnonzero(after >= step)
+                for i, j in _in_blocks(at, after[at] - (step - 1), at + step):
+                    yield near(x[i], x[j])
+                return
+            yield near(x[:-step], x[step:])
+            step += 1
         return
-    order_r = np.argsort(right)
-    ranked = right[order_r]
+    packed = _keyed(right, mask)
+    ranked, y = packed >> half, right[(packed & low).view(np.int64)]
     lo = np.searchsorted(ranked, s, "left")
     n = np.searchsorted(ranked, s, "right") - lo
     at = np.flatnonzero(n)
     for i, j in _in_blocks(at, n[at], lo[at]):
-        yield order[i], order_r[j]
+        yield near(x[i], y[j])
 
 
 def _n_pairs(left: np.ndarray, right: np.ndarray | None) -> tuple[float, int]:
@@ -100,21 +122,20 @@ def _compare(own: int, differ: list[int], left: np.ndarray, right: np.ndarray |
     if not pairs:
         return
 
-    def verified(x: np.ndarray, y: np.ndarray, differ: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    def verified(x: np.ndarray, y: np.ndarray, same: np.uint64, differ: list[int]) -> tuple[np.ndarray, np.ndarray]:
         d = x ^ y
-        near = np.flatnonzero(np.bitwise_count(d) <= threshold)
-        d, x, y = d[near], x[near], y[near]
-        ok = np.ones(len(d), bool)
+        ok = (d & same) == 0
         for m in differ:
             ok &= (d & np.uint64(m)) != 0
         return x[ok], y[ok]
 
     rest, n = _rest(own), len(left) + (0 if right is None else len(right))
     # Seconds of comparing groups as wholes, and of looking up by s further words: per pair, row and choice.
-    cost = {-1: pairs * 5e-9 + groups * 3e-5, 0: n * 6e-8 + pairs * 1.5e-8}
+    each = 2e-8 if right is None else 5e-8
+    cost = {-1: pairs * 5e-9 + groups * 3e-5, 0: n * 3e-8 + pairs * each}
     for s in range(1, 6):
         if threshold + s <= len(rest):
-            cost[s] = math.comb(threshold + s, s) * (n * 6e-8 + pairs / 2 ** (s * len(rest) / (threshold + s)) * 1.5e-8 + 5e-5)
+            cost[s] = math.comb(threshold + s, s) * (n * 3e-8 + pairs / 2 ** (s * len(rest) / (threshold + s)) * each + 1e-4)
     s = min(cost, key=cost.get)
     if s < 0:
         left = left[np.argsort(left & own_)]
@@ -134,14 +155,15 @@ def _compare(own: int, differ: list[int], left: np.ndarray, right: np.ndarray |
                     if right is None and i == j:
                         p, q = p[p < q], q[p < q]
                     if len(p):
-                        yield verified(x[p], y[q], differ)
+                        yield verified(x[p], y[q], own_, differ)
         return
     masks = _cut(rest, threshold + s) if s else []
     for chosen in combinations(range(len(masks)), s):
         mask = own_ | np.uint64(sum(masks[c] for c in chosen))
         others = [*differ, *(masks[c] for c in range(chosen[-1]) if c not in chosen)] if chosen else differ
-        for i, j in _equal(left & mask, None if right is None else right & mask):
-            yield verified(left[i], (left if right is None else right)[j], others)
+        for x, y in _equal(left, right, mask, threshold):
+            if len(x):
+                yield verified(x, y, mask, others)
 
 
 def _near_of_partition(batches: Iterator[pa.RecordBatch], threshold: int, both: bool, at_once: int = 400_000) -> Iterator[pa.RecordBatch]:
@@ -207,7 +229,7 @@ def _cells(rows: DataFrame, both: bool) -> DataFrame:
     return left.unionByName(right).select("value", "e.side", "e.c", "k")
 
 
-def near_values(values: DataFrame, threshold: int, both: bool = False, hot: int = 400_000) -> DataFrame:
+def near_values(values: DataFrame, threshold: int, both: bool = False, hot: int = 1_000_000) -> DataFrame:
     """(a, b, distance) of values with side bit 1 and values with side bit 2 within `threshold` bits (0 to 64), equal ones too.
 
     `values`: unique `value` bigint, `side` int, from a written table, as it is read twice. `both`: all
