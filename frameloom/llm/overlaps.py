@@ -3,146 +3,69 @@
 An image's hash is read as five words of 13 or 12 bits. Two hashes that differ in at most
 four bits agree in at least one word, so the words of the evaluation records are
 partitioned by (position, word), the training records' words are scanned against them,
-and every hit is verified on all 64 bits. Within a partition the other bits are cut into
-smaller words again, by the size of each group, so that a word that is common by chance
-doesn't cause all pairs to be tried. Containment is the share of an evaluation record's
-words that the training record has too. Export marks are a further token, matched exactly.
-
-Exact copies count once: words are those of different hash values, and records come back
-by joining on the value, so a value that a third of all records have is one row here. Of a
-group of (position, word) beyond `hot` values the training values are dealt to salts and
-its evaluation values are sent to each; such groups are found by counting all groups,
-of which there are at most 36,864.
+and every hit is verified on all 64 bits (`operators/similarity.py` `near_values`, which also cuts crowded
+words on both sides). Containment is the share of an evaluation record's words that the training record has too.
+Export marks are a further token, matched exactly.
+
+Copies count once: records of equal hashes are one kind, kinds are matched, and pairs of
+records are only made where they are asked for. Counts come from the kinds' sizes.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from itertools import combinations
+from functools import reduce
+from operator import add
+from typing import NamedTuple
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from frameloom.plans.scratch import Scratch, spread
+from frameloom.operators.similarity import near_values, words
+from frameloom.plans.scratch import Scratch
 
-# (first bit, bits) of the five words.
-WORDS = ((0, 13), (13, 13), (26, 13), (39, 13), (52, 12))
 NEAR = 4
 STRAIGHT, MIRRORED = 1, 2
-LINK = "t bigint, e bigint, distance int, containment double"
-
-
-def _subwords(position: int, parts: int) -> list[np.uint64]:
-    """Masks that cut the 64 bits without the given word into `parts` words."""
-    lo, n = WORDS[position]
-    bits = [b for b in range(64) if not lo <= b < lo + n]
-    return [np.uint64(sum(1 << b for b in chunk.tolist())) for chunk in np.array_split(np.array(bits), parts)]
-
-
-def _pairs(t: np.ndarray, e: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Places (i, j) with t[i] == e[j], in blocks of some million."""
-    order = np.argsort(e, kind="stable")
-    lo, hi = np.searchsorted(e[order], t, "left"), np.searchsorted(e[order], t, "right")
-    at = np.flatnonzero(hi > lo)
-    n = (hi - lo)[at]
-    if not len(at):
-        return
-    cuts = np.concatenate([[0], np.flatnonzero(np.diff(np.cumsum(n) // 2_000_000)) + 1, [len(at)]])
-    for a, b in zip(cuts[:-1], cuts[1:]):
-        m, k = n[a:b], at[a:b]
-        i = np.repeat(k, m)
-        j = np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m) + np.repeat(lo[k], m)
-        yield i, order[j]
-
-
-def _near(position: int, t: np.ndarray, e: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Values of t and e that agree in the word at `position`, in no earlier one, and differ in at most NEAR bits."""
-    word = lambda i: np.uint64(((1 << WORDS[i][1]) - 1) << WORDS[i][0])
-    own = word(position)
-    ct, et = (np.unique(x & own, return_counts=True) for x in (t, e))
-    _, at, bt = np.intersect1d(ct[0], et[0], return_indices=True)
-    pairs = float((ct[1][at].astype(np.float64) * et[1][bt]).sum())
-    if not pairs:
-        return
-    # Of five further words one is the same for sure, of six two, of seven three: as many as keep chance hits few.
-    same = next((s for s in (1, 2) if pairs / 2 ** (s * 51 / (NEAR + s)) < 4e6), 3)
-    masks = _subwords(position, NEAR + same)
-    earlier = [word(i) for i in range(position)]
-    for chosen in combinations(range(len(masks)), same):
-        mask = own | np.bitwise_or.reduce([masks[c] for c in chosen])
-        # A pair is found once, by its first words in common: the others before the last of these differ.
-        differ = [*earlier, *(masks[c] for c in range(chosen[-1]) if c not in chosen)]
-        for i, j in _pairs(t & mask, e & mask):
-            x = t[i] ^ e[j]
-            ok = np.bitwise_count(x) <= NEAR
-            x, i, j = x[ok], i[ok], j[ok]
-            ok = np.ones(len(x), bool)
-            for m in differ:
-                ok &= (x & m) != 0
-            yield t[i[ok]], e[j[ok]]
-
-
-def _links_of_partition(batches: Iterator[pa.RecordBatch], at_once: int = 400_000) -> Iterator[pa.RecordBatch]:
-    """Rows (k: position, salt and word; value; train) sorted by k, some whole groups at a time."""
-
-    def links(k: np.ndarray, value: np.ndarray, train: np.ndarray) -> Iterator[pa.RecordBatch]:
-        bucket = k >> 16  # position and salt
-        for one in np.unique(bucket).tolist():
-            of = bucket == one
-            for x, y in _near(one >> 24, value[of & train], value[of & ~train]):
-                if len(x):
-                    d = x ^ y
-                    same = sum(((d & np.uint64(((1 << n) - 1) << lo)) == 0).astype(np.float64) for lo, n in WORDS) / len(WORDS)
-                    yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)), pa.array(y.view(np.int64)), pa.array(np.bitwise_count(d).astype(np.int32)), pa.array(same)], ["t", "e", "distance", "containment"])
-
-    def found() -> Iterator[pa.RecordBatch]:
-        held, n = [], 0
-        for b in batches:
-            held.append((b.column("k").to_numpy(), b.column("value").to_numpy().view(np.uint64), b.column("train").to_numpy(zero_copy_only=False)))
-            n += b.num_rows
-            if n >= at_once:
-                k, value, train = (np.concatenate(x) for x in zip(*held))
-                end = int(np.searchsorted(k, k[-1]))  # the last group may go on
-                yield from links(k[:end], value[:end], train[:end])
-                held, n = [(k[end:], value[end:], train[end:])], 0
-        if held:
-            yield from links(*(np.concatenate(x) for x in zip(*held)))
-
-    yield from _joined(found())
-
-
-def _joined(batches: Iterator[pa.RecordBatch], rows: int = 50_000) -> Iterator[pa.RecordBatch]:
-    """Small batches put together."""
-    some, n = [], 0
-    for b in batches:
-        some.append(b)
-        n += b.num_rows
-        if n >= rows:
-            yield from pa.Table.from_batches(some).combine_chunks().to_batches()
-            some, n = [], 0
-    if some:
-        yield from pa.Table.from_batches(some).combine_chunks().to_batches()
-
-
-def near_values(values: DataFrame, hot: int = 500_000) -> DataFrame:
-    """(t, e, distance, containment) of training values t and evaluation values e within four bits.
-
-    `values`: different rows (value bigint, train boolean), no nulls, held in a written
-    table, for it is read twice.
-    """
-    word = lambda i: F.shiftrightunsigned("value", WORDS[i][0]).bitwiseAND((1 << WORDS[i][1]) - 1)
-    keys = values.select("value", "train", F.explode(F.array(*(F.lit(i << 40).bitwiseOR(word(i)) for i in range(len(WORDS))))).alias("k"))
-    crowded = (
-        keys.groupBy("k").agg(F.count_if("train").alias("n")).where(F.col("n") > hot)
-        .select(F.col("k").alias("hot_k"), F.ceil(F.col("n") / hot).cast("int").alias("salts"))
+
+
+class Overlaps(NamedTuple):
+    """members: id, train, mark, kind (null without hashes) and the records' other columns; kinds: kind, n_train,
+    n_eval; near: kt, ke, distance, containment of near kinds of training and of evaluation records."""
+
+    members: DataFrame
+    kinds: DataFrame
+    near: DataFrame
+
+
+def _containment(a: str, b: str) -> F.Column:
+    """Share of words that two hashes have in common."""
+    d = F.col(a).bitwiseXOR(F.col(b))
+    signed = lambda m: m - (1 << 64) if m >> 63 else m
+    cut = words(NEAR)
+    return reduce(add, ((d.bitwiseAND(F.lit(signed(m)).cast("bigint")) == 0).cast("int") for m in cut)) / F.lit(float(len(cut)))
+
+
+def match_kinds(records: DataFrame, scratch: Scratch) -> Overlaps:
+    """Kinds of records (id, split, phash, phash_mirror, mark, further columns) and which of them are near. See `cross_split_overlaps`."""
+    taken = ("id", "split", "phash", "phash_mirror", "mark")
+    others = [c for c in records.columns if c not in (*taken, "train", "kind", "f", "h", "m")]
+    known = F.col("phash").isNotNull().cast("int") + F.col("phash_mirror").isNotNull().cast("int") * 2
+    kept = scratch.keep(
+        records.where("id IS NOT NULL AND split IN ('train', 'valid', 'test')").select(
+            "id", "split", *others, (F.col("split") == "train").alias("train"), F.unhex("mark").alias("mark"), known.alias("f"), F.coalesce("phash", F.lit(0)).alias("h"), F.coalesce("phash_mirror", F.lit(0)).alias("m")
+        )
     )
-    salted = keys.join(F.broadcast(crowded), F.col("k") == F.col("hot_k"), "left")  # at most 36,864 rows
-    salt = F.when(F.col("salts").isNull(), F.array(F.lit(0).cast("bigint"))).when(F.col("train"), F.array(F.pmod(F.xxhash64("value"), F.col("salts")))).otherwise(F.sequence(F.lit(0).cast("bigint"), F.col("salts").cast("bigint") - 1))
-    dealt = salted.select("value", "train", F.explode(F.transform(salt, lambda s: F.col("k").bitwiseOR(F.shiftleft(s, 16)))).alias("k"))
-    # Comparing costs more than the rows weigh, so their partitions are not put together by weight.
-    return dealt.repartition(spread(values.sparkSession), "k").sortWithinPartitions("k").mapInArrow(_links_of_partition, LINK)
+    kinds = scratch.keep(kept.where("f > 0").groupBy("h", "m", "f").agg(F.min("id").alias("kind"), F.count_if("train").alias("n_train"), F.count_if(~F.col("train")).alias("n_eval")))
+    members = scratch.keep(kept.join(kinds.select("h", "m", "f", "kind"), ["h", "m", "f"], "left").drop("h", "m", "f"))
+    face = lambda c, face: F.when(F.col("f").bitwiseAND(face) > 0, F.struct(F.col(c).alias("value"), F.lit(face).alias("face")))
+    faces = kinds.select("kind", "n_train", "n_eval", F.explode(F.array_compact(F.array(face("h", STRAIGHT), face("m", MIRRORED)))).alias("x")).select("kind", "n_train", "n_eval", "x.*")
+    side = F.when(F.col("n_train") > 0, 1).otherwise(0) + F.when(F.col("n_eval") > 0, 2).otherwise(0)
+    values = scratch.keep(faces.groupBy("value").agg(F.bit_or(side).alias("side")))
+    close = scratch.keep(near_values(values, NEAR).withColumn("containment", _containment("a", "b")))
+    t = faces.where("n_train > 0").select(F.col("kind").alias("kt"), F.col("value").alias("a"), F.col("face").alias("ft"))
+    e = faces.where("n_eval > 0").select(F.col("kind").alias("ke"), F.col("value").alias("b"), F.col("face").alias("fe"))
+    met = close.join(t, "a").join(e, "b").where(~((F.col("ft") == MIRRORED) & (F.col("fe") == MIRRORED)))
+    near = scratch.keep(met.groupBy("kt", "ke").agg(F.min("distance").alias("distance"), F.max("containment").alias("containment")))
+    return Overlaps(members, kinds.select("kind", "n_train", "n_eval"), near)
 
 
 def cross_split_overlaps(records: DataFrame, scratch: Scratch) -> DataFrame:
@@ -156,20 +79,30 @@ def cross_split_overlaps(records: DataFrame, scratch: Scratch) -> DataFrame:
     phash_mirror. A null hash or mark compares with nothing; rows of null id are left out.
     Empty tables give an empty result; further columns are ignored.
     """
-    kept = scratch.keep(
-        records.where("id IS NOT NULL AND split IN ('train', 'valid', 'test')")
-        .select("id", (F.col("split") == "train").alias("train"), "phash", "phash_mirror", F.unhex("mark").alias("mark"))
-    )
-    faces = kept.select("id", "train", F.explode(F.array(F.struct(F.col("phash").alias("value"), F.lit(STRAIGHT).alias("face")), F.struct(F.col("phash_mirror").alias("value"), F.lit(MIRRORED).alias("face")))).alias("f")).select("id", "train", "f.*").where("value IS NOT NULL")
-    values = scratch.keep(faces.select("value", "train").distinct())
-    near = scratch.keep(near_values(values))
-    t = faces.where("train").select(F.col("id").alias("id_train"), F.col("value").alias("t"), F.col("face").alias("t_face"))
-    e = faces.where("NOT train").select(F.col("id").alias("id_eval"), F.col("value").alias("e"), F.col("face").alias("e_face"))
-    by_hash = near.join(t, "t").join(e, "e").where(~((F.col("t_face") == MIRRORED) & (F.col("e_face") == MIRRORED))).select("id_train", "id_eval", "distance", "containment", F.lit(False).alias("same_mark"))
-    marked = kept.where("mark IS NOT NULL")
-    by_mark = (
-        marked.where("train").select(F.col("id").alias("id_train"), "mark")
-        .join(marked.where("NOT train").select(F.col("id").alias("id_eval"), "mark"), "mark")
-        .select("id_train", "id_eval", F.lit(None).cast("int").alias("distance"), F.lit(0.0).alias("containment"), F.lit(True).alias("same_mark"))
-    )
-    return by_hash.unionByName(by_mark).groupBy("id_train", "id_eval").agg(F.min("distance").alias("distance"), F.max("containment").alias("containment"), F.max("same_mark").alias("same_mark"))
+    members, _, near = match_kinds(records.select("id", "split", "phash", "phash_mirror", "mark"), scratch)
+    t = members.where("train").select(F.col("id").alias("id_train"), F.col("mark").alias("mark_t"), F.col("kind").alias("kt"))
+    e = members.where("NOT train").select(F.col("id").alias("id_eval"), F.col("mark").alias("mark_e"), F.col("kind").alias("ke"))
+    same = F.coalesce(F.col("mark_t") == F.col("mark_e"), F.lit(False)).alias("same_mark")
+    by_hash = near.join(t, "kt").join(e, "ke").select("id_train", "id_eval", "distance", "containment", same)
+    by_mark = t.join(e, F.col("mark_t") == F.col("mark_e")).join(near, ["kt", "ke"], "left_anti")
+    return by_hash.unionByName(by_mark.select("id_train", "id_eval", F.lit(None).cast("int").alias("distance"), F.lit(0.0).alias("containment"), F.lit(True).alias("same_mark")))
+
+
+def overlap_counts(records: DataFrame, scratch: Scratch, by: list[str]) -> DataFrame:
+    """Per split and `by` of the evaluation records: n_images, n_overlapping, n_pairs, n_by_hash, n_by_mark.
+
+    The pairs of `cross_split_overlaps`, counted without making them: a record's pairs are the
+    training records of the kinds near its own, those of its mark, less those of both.
+    """
+    members, kinds, near = match_kinds(records, scratch)
+    hashed = near.join(kinds.select(F.col("kind").alias("kt"), "n_train"), "kt").groupBy(F.col("ke").alias("kind")).agg(F.sum("n_train").alias("by_hash"))
+    marked = members.where("mark IS NOT NULL")
+    marks = marked.where("train").groupBy("mark").agg(F.count(F.lit(1)).alias("by_mark"))
+    of = marked.where("kind IS NOT NULL").groupBy("mark", "kind").agg(F.count_if("train").alias("nt"), F.count_if(~F.col("train")).alias("ne"))
+    t, e = of.where("nt > 0").select("mark", F.col("kind").alias("kt"), "nt"), of.where("ne > 0").select("mark", F.col("kind").alias("ke"))
+    both = t.join(e, "mark").join(near.select("kt", "ke"), ["kt", "ke"]).groupBy("mark", F.col("ke").alias("kind")).agg(F.sum("nt").alias("both_"))
+    j = members.where("NOT train").join(hashed, "kind", "left").join(marks, "mark", "left").join(both, ["mark", "kind"], "left")
+    n = lambda c: F.coalesce(c, F.lit(0))
+    pairs = n("by_hash") + n("by_mark") - n("both_")
+    total = lambda c, name: F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(name)
+    return j.groupBy("split", *by).agg(F.count(F.lit(1)).alias("n_images"), F.count_if(pairs > 0).alias("n_overlapping"), total(pairs, "n_pairs"), total(n("by_hash"), "n_by_hash"), total(n("by_mark"), "n_by_mark"))

@@ -12,7 +12,7 @@ from frameloom.llm import views as V
 from frameloom.llm.events import collapse_runs
 from frameloom.llm.groups import hash_to_min
 from frameloom.llm.mixing import mixture
-from frameloom.llm.overlaps import cross_split_overlaps
+from frameloom.llm.overlaps import cross_split_overlaps, overlap_counts
 from frameloom.llm.packing import pack, packing_report
 from frameloom.llm.proportions import proportional_sample
 from frameloom.llm.repetition import mostly_repeated, repetition
@@ -119,24 +119,19 @@ def p5_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 # 6. Overlaps of splits
 
 
-def _p6(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+def _p6(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = table(spark, sf_dir, "image_index").withColumn("__file", N.path_file(F.col("image_path")))
     images = current_images(index, mark=N.export_mark(F.col("__file")))
-    records = images.join(V.hashes(spark, sf_dir), "image_id", "left").select(F.col("image_id").alias("id"), "dataset", "split", "phash", "phash_mirror", "mark")
-    return records, cross_split_overlaps(records, Scratch(spark, "p6"))
+    return images.join(V.hashes(spark, sf_dir), "image_id", "left").select(F.col("image_id").alias("id"), "dataset", "split", "phash", "phash_mirror", "mark")
 
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _p6(spark, sf_dir)[1].select(F.least("id_train", "id_eval").alias("id_a"), F.greatest("id_train", "id_eval").alias("id_b"))
+    return cross_split_overlaps(_p6(spark, sf_dir), Scratch(spark, "p6")).select(F.least("id_train", "id_eval").alias("id_a"), F.greatest("id_train", "id_eval").alias("id_b"))
 
 
 def p6_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per split and dataset of the evaluation records: how many overlap with train, and in how many pairs."""
-    records, pairs = _p6(spark, sf_dir)
-    hit = pairs.groupBy(F.col("id_eval").alias("id")).agg(F.count(F.lit(1)).alias("pairs"), F.count_if(F.col("distance").isNotNull()).alias("by_hash"), F.count_if("same_mark").alias("by_mark"))
-    return records.where("split IN ('valid', 'test')").select("id", "split", "dataset").join(hit, "id", "left").groupBy("split", "dataset").agg(
-        F.count(F.lit(1)).alias("n_images"), F.count("pairs").alias("n_overlapping"), F.coalesce(F.sum("pairs"), F.lit(0)).alias("n_pairs"), F.coalesce(F.sum("by_hash"), F.lit(0)).alias("n_by_hash"), F.coalesce(F.sum("by_mark"), F.lit(0)).alias("n_by_mark")
-    )
+    return overlap_counts(_p6(spark, sf_dir), Scratch(spark, "p6"), ["dataset"])
 
 
 # 7. Splits that keep related images together

@@ -181,7 +181,7 @@ def test_assign_splits_of_ties_and_nothing(spark):
 @pytest.mark.parametrize("hot", [500_000, 3])
 def test_overlaps(spark, hot, monkeypatch):
     near = O.near_values
-    monkeypatch.setattr(O, "near_values", lambda v: near(v, hot))
+    monkeypatch.setattr(O, "near_values", lambda v, threshold: near(v, threshold, hot=hot))
     rng = random.Random(hot)
     base = [rng.getrandbits(64) for _ in range(25)]
 
@@ -195,7 +195,7 @@ def test_overlaps(spark, hot, monkeypatch):
 
     mark = lambda: None if rng.random() < 0.5 else f"{rng.randrange(60):032x}"
     rows = [(i, rng.choice(["train", "train", "valid", "test", None]), h(), h(), mark()) for i in range(260)] + [(None, "train", 1, 1, None)]
-    df = spark.createDataFrame(rows, "id bigint, split string, phash bigint, phash_mirror bigint, mark string").withColumn("t", F.lit("clash"))
+    df = spark.createDataFrame(rows, "id bigint, split string, phash bigint, phash_mirror bigint, mark string").withColumns({c: F.lit("clash") for c in ("t", "kind", "h", "train")})
     got = {(r.id_train, r.id_eval): (r.distance, r.same_mark) for r in O.cross_split_overlaps(df, Scratch(spark, "t")).collect()}
     want = {}
     for a in rows:
@@ -207,21 +207,15 @@ def test_overlaps(spark, hot, monkeypatch):
                 if d is not None or m:
                     want[a[0], b[0]] = (d, m)
     assert got == want
-
-
-@pytest.mark.parametrize("same", [1, 2, 3])
-def test_inner_words_lose_no_pair(same):
-    rng = np.random.default_rng(same)
-    t = rng.integers(0, 2**63, 400, dtype=np.uint64)
-    e = t.copy()
-    for k in range(len(e)):
-        for b in rng.choice(np.arange(13, 64), 4, replace=False):  # word 0 stays
-            e[k] ^= np.uint64(1) << np.uint64(b)
-    size = {1: 400, 2: 400, 3: 400}[same]
-    found = set()
-    for x, y in O._near(0, t[:size], e[:size]):
-        found |= set(zip(x.tolist(), y.tolist()))
-    assert found >= set(zip(t.tolist(), e.tolist()))
+    counts = {(r.split, r.o): r[2:] for r in O.overlap_counts(df.withColumn("o", F.col("id") % 3), Scratch(spark, "t"), ["o"]).collect()}
+    wanted = {}
+    for b in rows:
+        if b[1] in ("valid", "test"):
+            of = [v for (_, e), v in want.items() if e == b[0]]
+            n = wanted.setdefault((b[1], b[0] % 3), [0] * 5)
+            for k, x in enumerate((1, bool(of), len(of), sum(d is not None for d, _ in of), sum(m for _, m in of))):
+                n[k] += x
+    assert counts == {k: tuple(v) for k, v in wanted.items()}
 
 
 def test_overlaps_of_nothing(spark):
