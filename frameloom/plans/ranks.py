@@ -19,12 +19,16 @@ def rank_in_groups(df: DataFrame, groups: list[str], order: list[str], scratch:
     at most (partitions + groups) rows. Nulls order first. An empty frame stays empty.
     """
     at, part = f"__at_{rank}", f"__part_{rank}"
+    # Written first, as ranges are found by a sample of the rows, which would run what makes them twice.
+    given = df if hasattr(df, "_frameloom_path") else scratch.keep(df)
     placed = scratch.keep(
-        df.repartitionByRange(*groups, *order)
+        given.repartitionByRange(*groups, *order)
         .sortWithinPartitions(*groups, *order)
         .withColumn(at, F.monotonically_increasing_id())
         .withColumn(part, F.shiftright(F.col(at), 33))
     )
+    if given is not df:
+        scratch.drop(given)
     counts = placed.groupBy(part, *groups).agg(F.min(at).alias("__first"), F.count(F.lit(1)).alias("__n"))
     before = Window.partitionBy(*groups).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("__offset", F.coalesce(F.sum("__n").over(before), F.lit(0))).drop("__n")
@@ -36,3 +40,17 @@ def rank_in_groups(df: DataFrame, groups: list[str], order: list[str], scratch:
         same = F.col(c).eqNullSafe(F.col(as_))
         on = same if on is None else on & same
     return placed.join(offsets, on).withColumn(rank, F.col(at) - F.col("__first") + F.col("__offset")).drop(at, part, "__first", "__offset", *names.values())
+
+
+def running_totals(df: DataFrame, order: list[str], value: str, scratch: Scratch, total: str = "before") -> DataFrame:
+    """Adds `total`: the sum of a whole-number value over all rows before, by `order`, which must be unique.
+
+    Rows are summed within range partitions, which a row per partition links. Null values count as 0.
+    """
+    part = f"__part_{total}"
+    placed = scratch.keep(df.repartitionByRange(*order).withColumn(part, F.spark_partition_id()))
+    sums = placed.groupBy(part).agg(F.coalesce(F.sum(value), F.lit(0)).alias("__sum"))
+    earlier = Window.partitionBy().orderBy(part).rowsBetween(Window.unboundedPreceding, -1)  # a row per partition
+    starts = sums.select(F.col(part).alias("__part"), F.coalesce(F.sum("__sum").over(earlier), F.lit(0)).alias("__start"))
+    inside = Window.partitionBy(part).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    return placed.withColumn(total, F.coalesce(F.sum(value).over(inside), F.lit(0))).join(F.broadcast(starts), F.col(part) == F.col("__part")).withColumn(total, F.col(total) + F.col("__start")).drop(part, "__part", "__start")
