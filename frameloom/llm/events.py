@@ -114,7 +114,8 @@ def collapse_runs(events: DataFrame, scratch: Scratch, entity: list[str], order:
         F.col(event_id).cast("bigint").alias("id"),
         F.col(signature).cast("bigint").alias("hash"),
     )
-    sorted_ = keyed.repartitionByRange("e1", "e2", "at", "id").sortWithinPartitions("e1", "e2", "at", "id")
+    # Written first, as ranges are found by a sample of the rows, which would run what makes them twice.
+    sorted_ = scratch.keep(keyed).repartitionByRange("e1", "e2", "at", "id").sortWithinPartitions("e1", "e2", "at", "id")
     runs = scratch.keep(sorted_.mapInArrow(lambda x: _runs_of_partition(x, max_bits, max_gap, least), RUN))
     outer = runs.where("first OR last")  # at most two rows per partition
     w = Window.orderBy("e1", "e2", "start_at", "start_id")

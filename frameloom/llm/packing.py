@@ -5,18 +5,21 @@ is packed by best fit decreasing, and dual feasible functions of its sizes bound
 of containers it needs from below. A bucket that meets its bound is certified and
 keeps its containers, but for the emptiest, which may still be joined with others'. Of a
 bucket that doesn't, only full containers stay. What is left is dealt anew, so that
-buckets with gaps exchange items, and packed again.
+buckets with gaps exchange items, and packed again, until all fits one bucket or a round
+settles nothing more.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from frameloom.plans.ranks import running_totals
 from frameloom.plans.scratch import Scratch
 
+LEAST_GAIN = 0.99
 PLACED = "id bigint, piece bigint, size bigint, bucket bigint, bin bigint, start bigint, ordinal bigint, stays boolean"
 
 
@@ -96,7 +99,7 @@ def _packer(capacity: int, final: bool):
     return lambda rows: _pack_bucket(rows, capacity, final)
 
 
-def pack(items: DataFrame, scratch: Scratch, capacity: int = 2048, per_bucket: int = 20_000, rounds: int = 4) -> DataFrame:
+def pack(items: DataFrame, scratch: Scratch, capacity: int = 2048, per_bucket: int = 20_000) -> DataFrame:
     """The container and place of every item, and of every piece of items over capacity.
 
     `items`: id (unique), size. Result: id, piece (0, 1 ...), begin (of the piece in its item),
@@ -111,12 +114,10 @@ def pack(items: DataFrame, scratch: Scratch, capacity: int = 2048, per_bucket: i
     cut = given.where("size > 0").select("id", F.explode(pieces).alias("piece"), F.col("size").alias("whole"))
     pool = scratch.keep(cut.select("id", "piece", F.least(F.lit(capacity), F.col("whole") - F.col("piece") * capacity).cast("bigint").alias("size")))
     done: list[DataFrame] = []
-    for r in range(rounds):
-        n = pool.count()
-        if not n:
-            break
+    n, r, final = pool.count(), 0, False
+    while n:
         buckets = -(-n // per_bucket)
-        final = r == rounds - 1 or (r > 0 and buckets == 1)
+        final = final or (r > 0 and buckets == 1)
         dealt = pool.withColumn("bucket", F.pmod(F.xxhash64(F.lit(r), "id", "piece"), F.lit(buckets).cast("bigint")))
         packed = scratch.keep(dealt.groupBy("bucket").applyInArrow(_packer(capacity, final), PLACED))
         done.append(packed.where("stays").withColumn("round", F.lit(r)))
@@ -124,15 +125,17 @@ def pack(items: DataFrame, scratch: Scratch, capacity: int = 2048, per_bucket: i
             break
         before, pool = pool, scratch.keep(packed.where("NOT stays").select("id", "piece", "size"))
         scratch.drop(before)
+        was, n = n, pool.count()
+        final = n > LEAST_GAIN * was  # exchanging more settles next to nothing
+        r += 1
     columns = ["id", "piece", "size", "container", "start", "ordinal"]
     empty = given.where("size <= 0").select("id", F.lit(0).cast("bigint").alias("piece"), F.lit(0).cast("bigint").alias("size"))
     if done:
         placed = done[0]
         for d in done[1:]:
             placed = placed.unionByName(d)
-        bins = placed.groupBy("round", "bucket").agg((F.max("bin") + 1).alias("bins"))  # a row per per_bucket items
-        before = Window.orderBy("round", "bucket").rowsBetween(Window.unboundedPreceding, -1)
-        offsets = bins.withColumn("offset", F.coalesce(F.sum("bins").over(before), F.lit(0))).drop("bins")
+        bins = scratch.keep(placed.groupBy("round", "bucket").agg((F.max("bin") + 1).alias("bins")))  # a row per per_bucket items
+        offsets = running_totals(bins, ["round", "bucket"], "bins", scratch, "offset").drop("bins")
         total = max(1, bins.agg(F.sum("bins")).first()[0] or 1)
         filled = placed.join(offsets, ["round", "bucket"]).withColumn("container", F.col("offset") + F.col("bin")).select(*columns)
     else:

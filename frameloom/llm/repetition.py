@@ -128,6 +128,7 @@ def repetition(documents: DataFrame, span: int = 6) -> DataFrame:
     return measured.withColumn("share", F.when(F.col("n_words") > 0, F.col("n_repeated") / F.col("n_words")).otherwise(0.0))
 
 
-def mostly_repeated(documents: DataFrame, span: int = 6, least_share: float = 0.4) -> DataFrame:
-    """The rows of `repetition` with at least that share of repeated words."""
-    return repetition(documents, span).where((F.col("n_words") > 0) & (F.col("n_repeated") >= F.lit(least_share) * F.col("n_words")))
+def mostly_repeated(documents: DataFrame, span: int = 6, least_share: float = 0.4, longest: int | None = None) -> DataFrame:
+    """The rows of `repetition` with at least that share of repeated words, or, where `longest` is given, a repeat of more words than that."""
+    mostly = (F.col("n_words") > 0) & (F.col("n_repeated") >= F.lit(least_share) * F.col("n_words"))
+    return repetition(documents, span).where(mostly if longest is None else mostly | (F.col("longest_repeat") > longest))

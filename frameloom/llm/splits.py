@@ -13,6 +13,7 @@ sums choose how many components of each size make a split's total closest to its
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 from operator import and_
 
@@ -22,8 +23,6 @@ from pyspark.sql import functions as F
 from frameloom.plans.ranks import rank_in_groups
 from frameloom.plans.scratch import Scratch
 
-MOST_BITS = 800_000_000  # of all bitsets of one choice together: 100 MB on the driver
-
 
 def hook_and_shortcut(links: DataFrame, scratch: Scratch, a: str = "a", b: str = "b", most_rounds: int = 60) -> DataFrame:
     """(v, p): of every record with a link to another, the least id p of its component.
@@ -79,66 +78,56 @@ def components(records: DataFrame, scratch: Scratch, entity: list[str], alias: l
     return kept.join(roots, "__e").drop("__e", "__a")
 
 
-def _reachable(groups: list[tuple[int, int]], target: int) -> list[int]:
-    """Bitsets after each (size, count): bit s is set if some of the components so far have s records together.
-
-    Sums beyond target + the largest size are cut; they can't be closest.
-    """
-    limit = (1 << (target + max((s for s, _ in groups), default=0) + 1)) - 1
-    out = [1]
-    for size, count in groups:
-        bits, step = out[-1], 1
-        while count > 0:  # 1, 2, 4 ... copies at a time
-            take = min(step, count)
-            bits |= (bits << (size * take)) & limit
-            count, step = count - take, step * 2
-        out.append(bits)
-    return out
+def _with(bits: int, size: int, count: int, limit: int) -> int:
+    """Sums reachable with up to `count` components of a size more."""
+    step = 1
+    while count > 0:  # 1, 2, 4 ... copies at a time
+        take = min(step, count)
+        bits |= (bits << (size * take)) & limit
+        count, step = count - take, step * 2
+    return bits
 
 
 def _closest(groups: list[tuple[int, int]], target: int) -> list[int]:
-    """How many components of each size to take for a total closest to target (ties: the smaller total)."""
-    steps = _reachable(groups, target)
-    last = steps[-1]
-    below = (last & ((1 << (target + 1)) - 1)).bit_length() - 1
-    above = last >> (target + 1)
+    """How many components of each (size, count) to take for a total closest to target (ties: the smaller total).
+
+    Bit s of a bitset is set if some of the components so far have s records together. Sums over twice
+    the target are further off than none and are cut. Of k bitsets every sqrt(k)-th is kept, those
+    between are made again on the way back; no further size is looked at once the target is reached.
+    """
+    limit, every = (1 << (2 * target + 1)) - 1, math.isqrt(len(groups)) + 1
+    bits, kept, n = 1, [1], 0
+    while n < len(groups) and not bits >> target & 1:
+        bits = _with(bits, *groups[n], limit)
+        n += 1
+        if n % every == 0:
+            kept.append(bits)
+    below = (bits & ((1 << (target + 1)) - 1)).bit_length() - 1
+    above = bits >> (target + 1)
     best = below
     if above:
         over = target + 1 + (above & -above).bit_length() - 1
         best = over if over - target < target - below else below
     taken = [0] * len(groups)
-    for i in range(len(groups) - 1, -1, -1):
-        size, count = groups[i]
-        before = steps[i]
-        t = 0
-        while not before >> best & 1:
-            best, t = best - size, t + 1
-        taken[i] = t
-        assert t <= count and best >= 0
-    return taken
-
-
-def _choose(groups: list[tuple[int, int]], target: int, most_bits: int) -> list[int]:
-    """As _closest for sizes in descending order; while bitsets would have more than most_bits bits, the largest size is taken as far as it fits."""
-    taken, at = [0] * len(groups), 0
-    while at < len(groups) and (len(groups) - at) * (target + groups[at][0]) > most_bits:
-        size, count = groups[at]
-        taken[at] = min(count, target // size)
-        target -= size * taken[at]
-        at += 1
-    taken[at:] = _closest(groups[at:], target)
+    for first in range((n - 1) // every * every, -1, -every) if n else ():
+        steps = [kept[first // every]]
+        for i in range(first, min(first + every, n) - 1):
+            steps.append(_with(steps[-1], *groups[i], limit))
+        for i in range(first + len(steps) - 1, first - 1, -1):
+            size, count = groups[i]
+            while not steps[i - first] >> best & 1:
+                best, taken[i] = best - size, taken[i] + 1
+            assert taken[i] <= count and best >= 0
     return taken
 
 
-def choose_totals(sizes: dict[int, int], shares: dict[str, float], most_bits: int = MOST_BITS) -> dict[str, dict[int, int]]:
+def choose_totals(sizes: dict[int, int], shares: dict[str, float]) -> dict[str, dict[int, int]]:
     """For each split, how many components of each size it gets.
 
     Of each size every split first gets the whole part of its share, so that splits are
     alike in what they hold; what is left of each size is dealt by subset sums, the split of
     least share first, and the last split takes the rest. Where that leaves a split off its
     target, the problem is solved again without the first step and the better of the two kept.
-    Bitsets have at most most_bits bits together; where they would have more, the largest sizes
-    are taken greedily and the smaller ones fill what is left.
     """
     total, names = sum(s * n for s, n in sizes.items()), sorted(shares, key=lambda k: (shares[k], k))
     weight = sum(shares.values())
@@ -161,7 +150,7 @@ def choose_totals(sizes: dict[int, int], shares: dict[str, float], most_bits: in
         for k in names[:-1]:
             groups = [(s, n) for s, n in sorted(left.items(), reverse=True) if n]
             want = max(0, target[k] - sum(s * n for s, n in got[k].items()))
-            for (s, _), t in zip(groups, _choose(groups, want, most_bits)):
+            for (s, _), t in zip(groups, _closest(groups, want)):
                 got[k][s] += t
                 left[s] -= t
             off += abs(target[k] - sum(s * n for s, n in got[k].items()))
@@ -195,8 +184,9 @@ def assign_splits(grouped: DataFrame, scratch: Scratch, shares: dict[str, float]
             if n:
                 bounds.append((s, at, at + n, k))
             at += n
+    # Fewer than sqrt(2 n) sizes, a row for each split that gets some.
     table = spark.createDataFrame(bounds, "of_size bigint, lo bigint, hi bigint, new_split string")
-    placed = ranked.join(table, (F.col("size") == F.col("of_size")) & (F.col("nth") >= F.col("lo")) & (F.col("nth") < F.col("hi"))).select("group_id", F.col("size").alias("group_size"), "new_split")
+    placed = ranked.join(F.broadcast(table), (F.col("size") == F.col("of_size")) & (F.col("nth") >= F.col("lo")) & (F.col("nth") < F.col("hi"))).select("group_id", F.col("size").alias("group_size"), "new_split")
     return grouped.join(placed, "group_id")
 
 

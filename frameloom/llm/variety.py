@@ -8,15 +8,19 @@ everything that is left, the rest is deflated: look-alikes of what was taken and
 at their limit are set aside and the pivoting begins anew, until the wanted number is there.
 
 Every dataset gets a quota (water-filling on the square root of its different views, one at
-least), so none takes more than it deserves, and is cut into cells of at most
-`per_cell` picks by a hash of the clip; a tournament runs per cell. Blocks hold about
-`block` rows whatever the size of a cell, so a dataset or clip of a third of all records
-only has more blocks.
+least), so none takes more than it deserves, and is cut into cells of about `per_cell` picks by a hash
+of the clip; a tournament runs per cell and nominates half as many again as the cell's part. Blocks
+hold about `block` rows whatever the size of a cell, so a dataset or clip of a third of all records
+only has more blocks. Nominees of all cells and datasets are then deflated against each
+other: for each word of the hash those of one word meet in order of their pick, and what is near one that
+stays is set aside, so that no two that are left are look-alikes. Quotas are filled anew up to what each dataset has
+left, in order of the picks; what was set aside is only taken where all datasets run dry.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +28,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from frameloom.llm.mixing import fill
-from frameloom.plans.scratch import Scratch
+from frameloom.operators.similarity import words
+from frameloom.plans.ranks import rank_in_groups
+from frameloom.plans.scratch import Scratch, spread
 
 ROWS = "id bigint, cell bigint, leaf bigint, quota int, hash bigint, clip bigint, shape double, pick int, residual double"
 CLIP_DIMS, FAN_IN, LOOK_ALIKE = 16, 16, 4
@@ -119,6 +125,51 @@ def quotas(k: int, views: list[int]) -> list[int]:
     return [1 + m for m in more]
 
 
+def _apart(batches: Iterator[pa.RecordBatch], chunk: int = 2048) -> Iterator[pa.RecordBatch]:
+    """Of rows sorted by (w, order), with a hash, those that aren't near one of their w that stays. Held are the hashes of one w that stay."""
+    group: int | None = None
+    stay: list[np.ndarray] = []
+    for b in batches:
+        w, h = b.column("w").to_numpy(), b.column("hash").to_numpy().view(np.uint64)
+        ok = np.ones(len(w), bool)
+        cuts = [0, *(np.flatnonzero(np.diff(w)) + 1).tolist(), len(w)] if len(w) else [0]
+        for x, y in zip(cuts[:-1], cuts[1:]):
+            if group != int(w[x]):
+                group, stay = int(w[x]), []
+            for at in range(x, y, chunk):
+                part = h[at : min(at + chunk, y)]
+                mine = np.ones(len(part), bool)
+                for s in stay:
+                    open_ = np.flatnonzero(mine)
+                    mine[open_[(np.bitwise_count(part[open_, None] ^ s[None, :]) <= LOOK_ALIKE).any(axis=1)]] = False
+                open_ = np.flatnonzero(mine)
+                near = np.bitwise_count(part[open_, None] ^ part[None, open_]) <= LOOK_ALIKE
+                for i in np.flatnonzero(near.sum(axis=1) > 1).tolist():
+                    if mine[open_[i]]:
+                        later = open_[i + 1 :][near[i, i + 1 :]]
+                        mine[later] = False
+                ok[at : at + len(part)] = mine
+                if mine.any():
+                    stay.append(part[mine])
+                    if len(stay) > 1 and len(stay[-2]) < chunk:
+                        stay[-2:] = [np.concatenate(stay[-2:])]
+        if ok.any():
+            yield b.filter(pa.array(ok))
+
+
+def look_alikes_apart(nominees: DataFrame) -> DataFrame:
+    """(id) of nominees (id, hash, pick, rnd) of which no two are look-alikes: in order of (pick, rnd, id), what is near one that stays goes.
+
+    Two hashes within LOOK_ALIKE bits agree in a word, so a pass per word leaves no such pair, and no pair is ever a row.
+    """
+    rows = nominees.select("id", "hash", "pick", "rnd")
+    for m in words(LOOK_ALIKE):
+        w = F.col("hash").bitwiseAND(F.lit(m - (1 << 64) if m >> 63 else m).cast("bigint"))
+        by = rows.withColumn("w", w).repartition(spread(rows.sparkSession), "w").sortWithinPartitions("w", "pick", "rnd", "id")
+        rows = by.mapInArrow(_apart, "id bigint, hash bigint, pick int, rnd bigint, w bigint").drop("w")
+    return rows.select("id")
+
+
 def varied_subset(records: DataFrame, scratch: Scratch, k: int | float = 0.01, per_cell: int = 48, block: int = 4096, seed: int = 42) -> DataFrame:
     """A subset of k records (an int), or of that part of all different views (a float).
 
@@ -128,9 +179,9 @@ def varied_subset(records: DataFrame, scratch: Scratch, k: int | float = 0.01, p
     one dataset and hash are one view, shown by its least id; a record of unknown hash is a
     view of its clip, or its own if it has none. Every dataset with a view is present if
     k allows, and so is every sort of view (the 16 kinds of the hash's four highest bits,
-    and unknown). Rows of null id or dataset are left out; an empty table gives an empty
-    result; other columns are ignored. Datasets and cells (a row per `per_cell` picks) are
-    counted on the driver.
+    and unknown). No two chosen records are look-alikes (hashes within LOOK_ALIKE bits) unless a dataset has
+    nothing else or all run dry. Rows of null id or dataset are left out; an empty table gives an empty
+    result; other columns are ignored. Datasets are counted on the driver, cells aren't.
     """
     spark = records.sparkSession
     able = records.where("id IS NOT NULL AND dataset IS NOT NULL AND (least_boxes IS NULL OR coalesce(boxes, 0) >= least_boxes)")
@@ -143,36 +194,42 @@ def varied_subset(records: DataFrame, scratch: Scratch, k: int | float = 0.01, p
     n = [r["n"] for r in counted]
     total = k if isinstance(k, int) else int(round(k * sum(n)))
     got = quotas(total, n) if n else []
-    plan = spark.createDataFrame([(r["dataset"], i, max(1, -(-g // per_cell))) for i, (r, g) in enumerate(zip(counted, got)) if g], "dataset string, d int, cells int")
+    plan = spark.createDataFrame([(r["dataset"], i, g, max(1, -(-g // per_cell))) for i, (r, g) in enumerate(zip(counted, got)) if g], "dataset string, d int, got int, cells int")
     placed = views.join(F.broadcast(plan), "dataset").withColumn("cell", F.col("d").cast("bigint") * 2**32 + F.pmod(F.xxhash64(F.lit(seed), "clip"), F.col("cells")))
-    sizes: dict[int, list[tuple[int, int]]] = {}
-    for r in placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect():
-        sizes.setdefault(r["cell"] >> 32, []).append((r["cell"], r["n"]))
-    cells = []
-    for d, of in sizes.items():
-        of.sort()
-        shares = fill(got[d], [math.sqrt(c) for _, c in of], [c for _, c in of])
-        cells += [(cell, q, -(-c // block)) for (cell, c), q in zip(of, shares) if q]
-    table = spark.createDataFrame(cells, "cell bigint, quota int, leaves int")
+    cells = scratch.keep(placed.groupBy("d", "got", "cell").agg(F.count(F.lit(1)).alias("size")))
+    roots = cells.groupBy("d").agg(F.sum(F.sqrt("size")).alias("roots"))
+    part = F.ceil(F.lit(1.5) * F.col("got") * F.sqrt("size") / F.col("roots")) + 1
+    table = scratch.keep(cells.join(F.broadcast(roots), "d").select("cell", F.least(part, F.col("size")).cast("int").alias("quota"), F.ceil(F.col("size") / F.lit(block)).cast("int").alias("leaves")))
     rows = placed.join(table, "cell").select(
         "id", "cell", F.pmod(F.xxhash64(F.lit(seed), F.lit("leaf"), "id"), F.col("leaves")).cast("bigint").alias("leaf"), "quota", "hash", "clip", "shape", F.lit(0).alias("pick"), F.lit(0.0).alias("residual")
     )
     kept = scratch.keep(rows.groupBy("cell", "leaf").applyInArrow(_round, ROWS))
-    leaves = max((c[2] for c in cells), default=1)
+    leaves = table.agg(F.max("leaves")).first()[0] or 1
     while leaves > 1:
         up = kept.withColumn("group", F.floor(F.col("leaf") / FAN_IN)).groupBy("cell", "group").applyInArrow(lambda t: _round(t.drop_columns(["group"])), ROWS)
         before, kept = kept, scratch.keep(up.withColumn("leaf", F.floor(F.col("leaf") / FAN_IN).cast("bigint")))
         scratch.drop(before)
         leaves = -(-leaves // FAN_IN)
-    names = plan.select("d", "dataset")
-    chosen = kept.withColumn("d", F.shiftright("cell", 32).cast("int")).join(F.broadcast(names), "d")
+    nominees = scratch.keep(kept.select("id", F.shiftright("cell", 32).cast("int").alias("d"), "hash", "pick", "residual", F.xxhash64(F.lit(seed), F.lit("order"), "id").alias("rnd")))
+    apart = look_alikes_apart(nominees.where("hash IS NOT NULL")).unionByName(nominees.where("hash IS NULL").select("id")).withColumn("apart", F.lit(True))
+    nominees = scratch.keep(nominees.join(apart, "id", "left").withColumn("aside", F.coalesce(~F.col("apart"), F.lit(True))).drop("apart"))
+    # Quotas up to what is apart in each dataset, one at least, then up to all nominees.
+    have = {r["d"]: r for r in nominees.groupBy("d").agg(F.count_if(~F.col("aside")).alias("a"), F.count(F.lit(1)).alias("n")).collect()}
+    ds = sorted(have)
+    free = [max(1, have[d]["a"]) for d in ds]
+    last = quotas(min(total, sum(free)), free)
+    lack = min(total, sum(have[d]["n"] for d in ds)) - sum(last)
+    more = fill(lack, [math.sqrt(have[d]["n"]) for d in ds], [have[d]["n"] - q for d, q in zip(ds, last)]) if lack > 0 else [0] * len(ds)
+    final = spark.createDataFrame([(d, counted[d]["dataset"], q + m) for d, q, m in zip(ds, last, more)], "d int, dataset string, final bigint")
+    ranked = rank_in_groups(nominees, ["d"], ["aside", "pick", "rnd", "id"], scratch, "nth")
+    chosen = scratch.keep(ranked.join(F.broadcast(final), "d").where("nth < final").select("id", "dataset", "hash", "aside", "pick", "residual"))
     sort = F.coalesce(F.shiftrightunsigned("hash", 60).cast("int"), F.lit(16))
     there = {r[0] for r in chosen.select(sort.alias("s")).distinct().collect()}  # at most 17
-    lacking = views.withColumn("s", sort).where(~F.col("s").isin(*there, -1)).groupBy("s").agg(F.min(F.struct("id", "dataset")).alias("one")).select("one.id", "one.dataset") if there else None
     result = chosen.select("id", "dataset", "pick", "residual")
+    lacking = views.withColumn("s", sort).where(~F.col("s").isin(*there, -1)).groupBy("s").agg(F.min(F.struct("id", "dataset")).alias("one")).select("one.id", "one.dataset") if there else None
     extra = lacking.collect() if lacking is not None else []
     if extra:  # in place of the last picks
-        last = [r["id"] for r in result.orderBy(F.col("pick").desc(), F.col("id").desc()).limit(len(extra)).collect()]
+        out = [r["id"] for r in chosen.orderBy(F.col("aside").desc(), F.col("pick").desc(), F.col("id").desc()).limit(len(extra)).collect()]
         added = spark.createDataFrame([(r["id"], r["dataset"], 0, 0.0) for r in extra], "id bigint, dataset string, pick int, residual double")
-        result = result.where(~F.col("id").isin(last)).unionByName(added)
+        result = result.where(~F.col("id").isin(out)).unionByName(added)
     return result
