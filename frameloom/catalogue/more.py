@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from frameloom.catalogue.registry import QUERIES, query
+from frameloom.catalogue import pairs  # noqa: F401  (its SQL is used here)
+from frameloom.catalogue.registry import QUERIES, SQL, query
 from frameloom.catalogue.views import BX, CAT, DET, EFF, H, IMG, LOG, RUNS, SB, Views, containment_sql, iou_sql
 from frameloom.functions import geometry as G
 from frameloom.functions import names as N
@@ -40,7 +41,7 @@ def a16_rescue_set(v: Views) -> DataFrame:
     return _items(v).join(rescued, "name", "left_semi")
 
 
-@query()
+@query(f"""WITH {CAT} SELECT dataset, '| ' || concat_ws(' | ', dataset, coalesce(workspace_id, '-'), CASE WHEN enabled THEN 'yes' ELSE 'no' END, coalesce(array_to_string(class_names, ', '), '-'), coalesce(variety_min::VARCHAR, '-'), coalesce(closeup::VARCHAR, '-'), coalesce(faraway::VARCHAR, '-'), coalesce(phash_max::VARCHAR, '-')) || ' |' AS line FROM cat""")
 def a23_catalog_markdown(v: Views) -> DataFrame:
     return sinks.catalog_markdown(v.cat)
 
@@ -79,7 +80,7 @@ def a59_merge_guard(v: Views) -> DataFrame:
 @query(f"WITH {IMG} SELECT image_id, dataset FROM img WHERE excluded AND stage = 'cheap' ORDER BY md5('7:' || image_id), image_id LIMIT 200")
 def b8_index_sample(v: Views) -> DataFrame:
     rows = C.where_user(v.pick(excluded=F.col("excluded"), stage=F.col("exclusion_stage")), "excluded AND stage = 'cheap'")
-    return S.sample(rows, 200, "image_id", 7).select("image_id", "dataset")
+    return S.sample(rows, 200, "image_id", Scratch(v.spark, "b8"), 7).select("image_id", "dataset")
 
 
 @query(f"WITH {LOG}, {ITEMS} SELECT name, CASE WHEN decision IN ('select', 'discard') THEN decision ELSE 'todo' END AS status FROM items LEFT JOIN decided USING (name)")
@@ -152,7 +153,7 @@ def e13_signature_overlaps(v: Views) -> DataFrame:
     return M.signature_overlaps(b.where("split = 'valid'"), b.where("split = 'train'")).select("a", "b", "overlaps", F.round("iou", 6).alias("iou"))
 
 
-@query()
+@query(f"""WITH {IMG}, dup AS (SELECT image_id FROM ({SQL['e5_duplicates']}) WHERE image_id <> keeper) SELECT dataset, count(dup.image_id) AS excluded, count(*) AS total FROM img LEFT JOIN dup USING (image_id) GROUP BY dataset""")
 def e8_duplicate_counts(v: Views) -> DataFrame:
     """Per dataset how many pictures are excluded as duplicates, of how many."""
     dup = QUERIES["e5_duplicates"](v.spark, v.dir).where("image_id <> keeper").select("image_id", F.lit(True).alias("x"))

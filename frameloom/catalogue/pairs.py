@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from frameloom.catalogue.registry import query
-from frameloom.catalogue.views import BX, CAT, DET, EFF, H, IMG, LOG, RUNS, SB, Views, area_sql, containment_sql, iou_sql, overlap_sql
+from frameloom.catalogue.views import BX, CAT, DET, EFF, H, IMG, LOG, RUNS, SB, Views, area_sql, containment_sql, greedy_sql, iou_sql, overlap_sql
 from frameloom.functions import geometry as G
 from frameloom.functions import names as N
 from frameloom.operators import curate as C
@@ -50,7 +50,9 @@ def d7_best_confidence(v: Views) -> DataFrame:
     return M.best_confidence(v.sb.where("class_id = 80").select("image_id", "ord", "b"), v.det.where("class_id = 80"))
 
 
-@query()
+@query(f"""WITH RECURSIVE {IMG}, {BX}, {SB}, {DET}, {greedy_sql('sb', 'det', '5e-1')}
+SELECT t.image_id, t.class_id, TRUE AS is_gt, t.ord, w.gt IS NOT NULL AS matched, NULL::DOUBLE AS iou FROM sb t LEFT JOIN won w ON w.image_id = t.image_id AND w.class_id = t.class_id AND w.gt = t.ord
+UNION ALL SELECT s.image_id, s.class_id, FALSE, s.ord, w.ord IS NOT NULL, round(w.iou, 9) FROM det s LEFT JOIN won w ON w.image_id = s.image_id AND w.class_id = s.class_id AND w.ord = s.ord""")
 def d8_exclusive_matches(v: Views) -> DataFrame:
     m = M.exclusive_matches(v.sb, v.det)
     return m.select("image_id", "class_id", "is_gt", "ord", "matched", F.round("iou", 9).alias("iou"))

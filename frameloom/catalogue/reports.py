@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from frameloom.catalogue.registry import query
-from frameloom.catalogue.views import BX, CAT, DET, IMG, LOG, RUNS, SB, Views, iou_sql
+from frameloom.catalogue.views import BX, CAT, DET, IMG, LOG, RUNS, SB, Views, greedy_sql, iou_sql
 from frameloom.functions import names as N
 from frameloom.operators import evaluation as E
 from frameloom.operators import matching as M
@@ -14,6 +14,7 @@ from frameloom.operators import review as R
 from frameloom.operators import runs as J
 from frameloom.operators import sampling as H
 from frameloom.operators import stats as S
+from frameloom.params import DEFAULTS
 from frameloom.plans.scratch import Scratch, shared_dir
 
 CLASSES_SQL = "classes AS (SELECT DISTINCT classe AS class_id, max(nome) AS name FROM coco_subset_20000_4000 GROUP BY classe)"
@@ -90,10 +91,10 @@ def _q(value: str, name: str, ps: tuple = (0.1, 0.5, 0.9)) -> str:
 
 @query(f"WITH {BX}, a AS (SELECT class_id, w * h AS area FROM bx) SELECT class_id, count(*) AS n, min(area) AS area_min, {_q('area', 'area')}, round(avg(area), 9) AS area_mean, max(area) AS area_max, {_q('sqrt(area)', 'side')} FROM a GROUP BY class_id")
 def g13_size_bands(v: Views) -> DataFrame:
-    return S.size_bands(v.bx.select("class_id", (F.col("w") * F.col("h")).alias("area")), ["class_id"])
+    return S.size_bands(v.bx.select("class_id", (F.col("w") * F.col("h")).alias("area")), ["class_id"], Scratch(v.spark, "g13"))
 
 
-_EDGES = S.log_edges(1e-4, 1.0)
+_EDGES = S.log_edges(DEFAULTS.faraway_area, DEFAULTS.closeup_area)
 
 
 @query(f"WITH {BX}, b AS (SELECT CASE {' '.join(f'WHEN w * h >= {a!r}::DOUBLE AND w * h < {repr(b) if b != float('inf') else chr(39) + 'inf' + chr(39)}::DOUBLE THEN {i}' for i, (a, b) in enumerate(zip(_EDGES[:-1], _EDGES[1:])))} END AS bin FROM bx) SELECT r::INT AS bin, count(b.bin) AS n FROM range(0, 10) t(r) LEFT JOIN b ON b.bin = r GROUP BY r")
@@ -102,17 +103,11 @@ def g14_size_histogram(v: Views) -> DataFrame:
 
 
 @query()
-def g15_box_count_groups(v: Views) -> DataFrame:
-    """Pictures grouped by their number of boxes: 1-D k-means over the distinct numbers, k at the elbow.
-
-    The distinct numbers of boxes of a picture, at most as many as a picture has boxes, go to the driver.
-    """
-    rows = [(float(r["n_boxes"]), r["images"]) for r in S.annotation_stats(v.pick(), v.bx).orderBy("n_boxes").collect()]
-    values, weights = [r[0] for r in rows], [r[1] for r in rows]
-    if not values:
-        return v.spark.createDataFrame([], "n_boxes bigint, images bigint, group int, centre double")
-    centres, group = S.kmeans_1d(values, weights, S.elbow(values, weights))
-    return v.spark.createDataFrame([(int(a), w, g, centres[g]) for a, w, g in zip(values, weights, group)], "n_boxes bigint, images bigint, group int, centre double")
+def g15_size_groups(v: Views) -> DataFrame:
+    """Target boxes in groups by the logarithm of their area, as many as the elbow says: boxes, middle and ends."""
+    areas = v.bx.where(F.col("class_id") == DEFAULTS.target_class).select(F.log10(F.col("w") * F.col("h")).alias("log_area"))
+    got = S.grouped_values(areas, "log_area", Scratch(v.spark, "g15"))
+    return got.select("group", "n", *(F.round(F.pow(F.lit(10.0), c), 9).alias(name) for c, name in (("centre", "area"), ("least", "area_from"), ("most", "area_to"))))
 
 
 _P5 = (0.05, 0.25, 0.5, 0.75, 0.95)
@@ -124,7 +119,7 @@ z AS (SELECT split, w * h * 1e2 AS a, greatest(w, h) AS l, w * width * h * heigh
 s AS (SELECT split, {_q('a', 'area', _P5)}, {_q('l', 'side', _P5)}, count(*) FILTER (px < 1024) AS small, count(*) FILTER (px >= 1024 AND px < 9216) AS medium, count(*) FILTER (px >= 9216) AS large FROM z GROUP BY split)
 SELECT * FROM c LEFT JOIN s USING (split)""")
 def g19_split_stats(v: Views) -> DataFrame:
-    return S.split_stats(v.pick(width=F.col("width"), height=F.col("height")), v.bx)
+    return S.split_stats(v.pick(width=F.col("width"), height=F.col("height")), v.bx, Scratch(v.spark, "g19"))
 
 
 @query(f"""WITH {IMG}, {BX}, {SB}, {DET} SELECT class_id, count(*) FILTER (conf >= 45e-2) AS kept, count(*) FILTER (conf < 45e-2) AS dropped, round(avg(conf), 9) AS mean_conf FROM det GROUP BY class_id""")
@@ -162,7 +157,7 @@ def h4_with_classes(v: Views) -> DataFrame:
 
 @query(f"WITH {IMG} SELECT image_id, dataset FROM img WHERE split = 'train' ORDER BY md5('42:' || image_id), image_id LIMIT 500")
 def h6_seeded_sample(v: Views) -> DataFrame:
-    return H.sample(v.pick().where("split = 'train'"), 500, "image_id").select("image_id", "dataset")
+    return H.sample(v.pick().where("split = 'train'"), 500, "image_id", Scratch(v.spark, "h6")).select("image_id", "dataset")
 
 
 @query(f"WITH {IMG}, u AS (SELECT dataset, split FROM img, range(0, 3) WHERE split = 'train' UNION ALL SELECT dataset, split FROM img WHERE split = 'valid') SELECT dataset, split, count(*) AS n FROM u GROUP BY ALL")
@@ -188,10 +183,14 @@ def _matched(v: Views) -> DataFrame:
 
 
 def _average_precision(v: Views, scratch: Scratch) -> DataFrame:
-    return E.mean_average_precision(v.sb, v.det, M.matches_by_threshold(v.sb, v.det, scratch, E.IOU_THRESHOLDS))
+    return E.mean_average_precision(v.sb, v.det, M.matches_by_threshold(v.sb, v.det, scratch, E.IOU_THRESHOLDS), scratch)
 
 
-@query()
+@query(f"""WITH RECURSIVE {IMG}, {BX}, {SB}, {DET}, truth AS (SELECT * FROM sb WHERE class_id = 80), guess AS (SELECT * FROM det WHERE class_id = 80 AND conf >= 25e-2), {greedy_sql('truth', 'guess', '5e-1')},
+a AS (SELECT TRUE AS gt, pixels, EXISTS (SELECT 1 FROM won w WHERE w.image_id = t.image_id AND w.class_id = t.class_id AND w.gt = t.ord) AS hit FROM truth t
+  UNION ALL SELECT FALSE, pixels, EXISTS (SELECT 1 FROM won w WHERE w.image_id = s.image_id AND w.class_id = s.class_id AND w.ord = s.ord) FROM guess s),
+b AS (SELECT *, CASE WHEN pixels < 1024 THEN 'small' WHEN pixels < 9216 THEN 'medium' ELSE 'large' END AS bucket FROM a)
+SELECT bucket, count(*) FILTER (gt AND hit) AS tp, count(*) FILTER (gt AND NOT hit) AS fn, count(*) FILTER (NOT gt AND NOT hit) AS fp, count(*) FILTER (gt AND hit) / nullif(count(*) FILTER (gt), 0) AS recall FROM b GROUP BY bucket""")
 def i1_size_breakdown(v: Views) -> DataFrame:
     return E.size_breakdown(M.exclusive_matches(v.sb.where("class_id = 80"), v.det.where("class_id = 80 AND conf >= 0.25")))
 
@@ -213,14 +212,16 @@ def i3_mining_totals(v: Views) -> DataFrame:
 @query()
 def i4_curve_at_confidence(v: Views) -> DataFrame:
     """Precision and recall at a confidence of 0.5, null for a class of no predictions, and the APs."""
-    curve = E.at_confidence(E.precision_recall(_matched(v)), 0.5)
-    return _average_precision(v, Scratch(v.spark, "i4")).drop("positives").join(curve, "class_id", "left").select("class_id", "precision", "recall", "ap50", "ap50_95")
+    scratch = Scratch(v.spark, "i4")
+    curve = E.at_confidence(E.precision_recall(_matched(v), scratch), 0.5)
+    return _average_precision(v, scratch).drop("positives").join(curve, "class_id", "left").select("class_id", "precision", "recall", "ap50", "ap50_95")
 
 
 @query()
 def i5_class_means(v: Views) -> DataFrame:
-    ap = E.average_precision(_matched(v))
-    strict = E.average_precision(M.exclusive_matches(v.sb, v.det, 0.75))
+    scratch = Scratch(v.spark, "i5")
+    ap = E.average_precision(_matched(v), scratch)
+    strict = E.average_precision(M.exclusive_matches(v.sb, v.det, 0.75), scratch)
     return E.class_means(E.compare_classes(ap, strict).withColumnRenamed("delta", "ap"), [])
 
 

@@ -133,3 +133,15 @@ def containment_sql(a: str, b: str) -> str:
 
 def iou_sql(a: str, b: str) -> str:
     return f"coalesce({overlap_sql(a, b)} / nullif({area_sql(a)} + {area_sql(b)} - {overlap_sql(a, b)}, 0e0), 0e0)"
+
+
+def greedy_sql(truth: str, said: str, least: str) -> str:
+    """won (image_id, class_id, gt, ord, iou): each prediction, the most confident first, takes its best free true box. Needs WITH RECURSIVE."""
+    return f"""
+met AS (SELECT t.image_id, t.class_id, t.ord AS gt, s.ord, s.conf, {iou_sql('t', 's')} AS iou FROM {truth} t JOIN {said} s USING (image_id, class_id)),
+hits AS (SELECT image_id, class_id, ord, conf, list(gt ORDER BY iou DESC, gt) AS gts FROM met WHERE iou >= {least} GROUP BY ALL),
+turns AS (SELECT *, row_number() OVER (PARTITION BY image_id, class_id ORDER BY conf DESC, ord) AS turn FROM hits),
+fold AS (SELECT DISTINCT image_id, class_id, 0::BIGINT AS turn, []::INT[] AS taken, NULL::INT AS gt, NULL::INT AS ord FROM turns
+  UNION ALL SELECT image_id, class_id, turn, CASE WHEN gt IS NULL THEN taken ELSE list_append(taken, gt) END, gt, ord
+  FROM (SELECT r.image_id, r.class_id, r.turn, f.taken, ([x FOR x IN r.gts IF NOT list_contains(f.taken, x)])[1] AS gt, r.ord FROM fold f JOIN turns r ON r.image_id = f.image_id AND r.class_id = f.class_id AND r.turn = f.turn + 1)),
+won AS (SELECT f.image_id, f.class_id, f.gt, f.ord, met.iou FROM fold f JOIN met ON met.image_id = f.image_id AND met.class_id = f.class_id AND met.gt = f.gt AND met.ord = f.ord)"""

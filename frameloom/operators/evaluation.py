@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from frameloom.functions.geometry import size_bucket
+from frameloom.plans.ranks import running_totals
+from frameloom.plans.scratch import Scratch
 
 IOU_THRESHOLDS = tuple(x / 100 for x in range(50, 100, 5))
 
@@ -17,27 +19,31 @@ def size_breakdown(matched: DataFrame) -> DataFrame:
     return out.withColumn("recall", F.col("tp") / F.nullif(F.col("tp") + F.col("fn"), F.lit(0)))
 
 
-def precision_recall(matched: DataFrame) -> DataFrame:
+def _curve(steps: DataFrame, groups: list[str], scratch: Scratch) -> DataFrame:
+    """steps (groups, conf, t, n, positives) with tp, all_, recall, precision and precision's envelope, any number of rows per group."""
+    down = scratch.keep(steps.withColumn("__down", -F.col("conf")))
+    run = running_totals(down, ["__down"], "t", scratch, "tp", groups)
+    run = running_totals(run, ["__down"], "n", scratch, "all_", groups).withColumns({"tp": (F.col("tp") + F.col("t")).cast("bigint"), "all_": (F.col("all_") + F.col("n")).cast("bigint")})
+    run = run.withColumns({"recall": F.col("tp") / F.col("positives"), "precision": F.col("tp") / F.col("all_")})
+    return running_totals(run, ["conf"], "precision", scratch, "envelope", groups, greatest=True).drop("__down")
+
+
+def precision_recall(matched: DataFrame, scratch: Scratch) -> DataFrame:
     """Per class and distinct confidence: recall, precision, and precision's envelope (greatest at this recall or more)."""
     truth = matched.where("is_gt").groupBy("class_id").agg(F.count(F.lit(1)).alias("positives"))
-    steps = matched.where("NOT is_gt").groupBy("class_id", "conf").agg(F.count_if("matched").alias("t"), F.count_if(~F.col("matched")).alias("f"))
-    w = Window.partitionBy("class_id").orderBy(F.col("conf").desc()).rowsBetween(Window.unboundedPreceding, 0)
-    run = steps.withColumns({"tp": F.sum("t").over(w), "fp": F.sum("f").over(w)}).join(truth, "class_id")
-    run = run.withColumns({"recall": F.col("tp") / F.col("positives"), "precision": F.col("tp") / (F.col("tp") + F.col("fp"))})
-    after = Window.partitionBy("class_id").orderBy(F.col("conf").desc()).rowsBetween(0, Window.unboundedFollowing)
-    return run.withColumn("envelope", F.max("precision").over(after)).select("class_id", "conf", "tp", "fp", "positives", "recall", "precision", "envelope")
+    steps = matched.where("NOT is_gt").groupBy("class_id", "conf").agg(F.count_if("matched").alias("t"), F.count(F.lit(1)).alias("n"))
+    curve = _curve(steps.join(truth, "class_id"), ["class_id"], scratch)
+    return curve.select("class_id", "conf", "t", "tp", (F.col("all_") - F.col("tp")).alias("fp"), "positives", "recall", "precision", "envelope")
 
 
-def average_precision(matched: DataFrame) -> DataFrame:
+def average_precision(matched: DataFrame, scratch: Scratch) -> DataFrame:
     """(class_id, positives, ap): area under the precision envelope over recall; classes without predictions have 0."""
-    curve = precision_recall(matched)
-    w = Window.partitionBy("class_id").orderBy(F.col("conf").desc())
-    area = curve.withColumn("step", F.col("recall") - F.coalesce(F.lag("recall").over(w), F.lit(0.0))).groupBy("class_id").agg(F.sum(F.col("step") * F.col("envelope")).alias("ap"))
+    area = precision_recall(matched, scratch).groupBy("class_id").agg(F.sum(F.col("t") / F.col("positives") * F.col("envelope")).alias("ap"))
     truth = matched.where("is_gt").groupBy("class_id").agg(F.count(F.lit(1)).alias("positives"))
     return truth.join(area, "class_id", "left").withColumn("ap", F.coalesce("ap", F.lit(0.0)))
 
 
-def mean_average_precision(truth: DataFrame, predictions: DataFrame, matches: DataFrame, thresholds: tuple[float, ...] = IOU_THRESHOLDS) -> DataFrame:
+def mean_average_precision(truth: DataFrame, predictions: DataFrame, matches: DataFrame, scratch: Scratch, thresholds: tuple[float, ...] = IOU_THRESHOLDS) -> DataFrame:
     """(class_id, positives, ap50, ap50_95): average precision at the first of the thresholds, and its mean over all.
 
     matches: `matching.matches_by_threshold`. Per threshold as `average_precision`.
@@ -46,12 +52,9 @@ def mean_average_precision(truth: DataFrame, predictions: DataFrame, matches: Da
     at = F.explode(F.array(*(F.lit(float(x)) for x in thresholds))).alias("iou_min")
     said = predictions.groupBy("class_id", "conf").agg(F.count(F.lit(1)).alias("n")).select("class_id", "conf", "n", at)
     hit = matches.groupBy("class_id", "iou_min", "conf").agg(F.count(F.lit(1)).alias("t"))
-    steps = said.join(hit, ["class_id", "iou_min", "conf"], "left").join(positives, "class_id")
-    w = Window.partitionBy("class_id", "iou_min").orderBy(F.col("conf").desc())
-    run = steps.withColumns({"tp": F.sum(F.coalesce("t", F.lit(0))).over(w), "all_": F.sum("n").over(w)})
-    run = run.withColumns({"recall": F.col("tp") / F.col("positives"), "precision": F.col("tp") / F.col("all_")})
-    run = run.withColumns({"envelope": F.max("precision").over(w.rowsBetween(0, Window.unboundedFollowing)), "step": F.col("recall") - F.coalesce(F.lag("recall").over(w), F.lit(0.0))})
-    ap = run.groupBy("class_id", "iou_min").agg(F.sum(F.col("step") * F.col("envelope")).alias("ap"))
+    steps = said.join(hit, ["class_id", "iou_min", "conf"], "left").join(positives, "class_id").withColumn("t", F.coalesce("t", F.lit(0)))
+    run = _curve(steps, ["class_id", "iou_min"], scratch)
+    ap = run.groupBy("class_id", "iou_min").agg(F.sum(F.col("t") / F.col("positives") * F.col("envelope")).alias("ap"))
     both = ap.groupBy("class_id").agg(F.max(F.when(F.col("iou_min") == float(thresholds[0]), F.col("ap"))).alias("ap50"), (F.sum("ap") / F.lit(len(thresholds))).alias("ap50_95"))
     return positives.join(both, "class_id", "left").select("class_id", "positives", *(F.coalesce(c, F.lit(0.0)).alias(c) for c in ("ap50", "ap50_95")))
 
@@ -61,15 +64,15 @@ def at_confidence(curve: DataFrame, conf: float) -> DataFrame:
 
     Above the greatest confidence recall is 0 and precision 1; below the least the last point holds.
     """
-    w = Window.partitionBy("class_id").orderBy("conf")
-    nxt = curve.withColumns({"c1": F.lead("conf").over(w), "p1": F.lead("precision").over(w), "r1": F.lead("recall").over(w), "first": F.lag("conf").over(w).isNull()})
-    t = (F.lit(conf) - F.col("conf")) / (F.col("c1") - F.col("conf"))
-    inside = (F.col("conf") <= conf) & (F.col("c1") > conf)
-    over = F.col("c1").isNull() & (F.col("conf") < conf)
-    exact = F.col("c1").isNull() & (F.col("conf") == conf)
-    under = F.col("first") & (F.col("conf") > conf)
-    value = lambda a, b, top: F.when(inside, F.col(a) + t * (F.col(b) - F.col(a))).when(over, F.lit(top)).when(exact | under, F.col(a))
-    return nxt.where(inside | over | exact | under).select("class_id", value("precision", "p1", 1.0).alias("precision"), value("recall", "r1", 0.0).alias("recall"))
+    point = F.struct("conf", "precision", "recall")
+    ends = curve.groupBy("class_id").agg(F.max(F.when(F.col("conf") <= conf, point)).alias("lo"), F.min(F.when(F.col("conf") > conf, point)).alias("hi"))
+    t = (F.lit(conf) - F.col("lo.conf")) / (F.col("hi.conf") - F.col("lo.conf"))
+
+    def value(c: str, top: float) -> F.Column:
+        lo, hi = F.col(f"lo.{c}"), F.col(f"hi.{c}")
+        return F.when(F.col("lo").isNull(), hi).when(F.col("hi").isNotNull(), lo + t * (hi - lo)).when(F.col("lo.conf") == conf, lo).otherwise(F.lit(top))
+
+    return ends.select("class_id", value("precision", 1.0).alias("precision"), value("recall", 0.0).alias("recall"))
 
 
 def class_means(metrics: DataFrame, by: list[str], value: str = "ap") -> DataFrame:

@@ -6,6 +6,9 @@ partitions' counts (one row per partition and group that lies in it) give the of
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,22 +38,29 @@ def rank_in_groups(df: DataFrame, groups: list[str], order: list[str], scratch:
     names = {c: f"__key_{i}" for i, c in enumerate([part, *groups])}
     for c, as_ in names.items():
         offsets = offsets.withColumnRenamed(c, as_)
-    on = None
-    for c, as_ in names.items():
-        same = F.col(c).eqNullSafe(F.col(as_))
-        on = same if on is None else on & same
+    on = reduce(and_, (F.col(c).eqNullSafe(F.col(as_)) for c, as_ in names.items()))
     return placed.join(offsets, on).withColumn(rank, F.col(at) - F.col("__first") + F.col("__offset")).drop(at, part, "__first", "__offset", *names.values())
 
 
-def running_totals(df: DataFrame, order: list[str], value: str, scratch: Scratch, total: str = "before") -> DataFrame:
-    """Adds `total`: the sum of a whole-number value over all rows before, by `order`, which must be unique.
+def running_totals(df: DataFrame, order: list[str], value: str, scratch: Scratch, total: str = "before", groups: list[str] | None = None, greatest: bool = False) -> DataFrame:
+    """Adds `total`: the sum of a value over all rows before within `groups`, by `order`, which must be unique there.
 
-    Rows are summed within range partitions, which a row per partition links. Null values count as 0.
+    With `greatest` its greatest value instead, the row itself included. Rows are summed within range
+    partitions, which a row per partition and group links, so a group may be of any size. Null values don't count.
     """
+    groups = groups or []
     part = f"__part_{total}"
-    placed = scratch.keep(df.repartitionByRange(*order).withColumn(part, F.spark_partition_id()))
-    sums = placed.groupBy(part).agg(F.coalesce(F.sum(value), F.lit(0)).alias("__sum"))
-    earlier = Window.partitionBy().orderBy(part).rowsBetween(Window.unboundedPreceding, -1)  # a row per partition
-    starts = sums.select(F.col(part).alias("__part"), F.coalesce(F.sum("__sum").over(earlier), F.lit(0)).alias("__start"))
-    inside = Window.partitionBy(part).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    return placed.withColumn(total, F.coalesce(F.sum(value).over(inside), F.lit(0))).join(F.broadcast(starts), F.col(part) == F.col("__part")).withColumn(total, F.col(total) + F.col("__start")).drop(part, "__part", "__start")
+    given = df if hasattr(df, "_frameloom_path") else scratch.keep(df)
+    placed = scratch.keep(given.repartitionByRange(*groups, *order).withColumn(part, F.spark_partition_id()))
+    if given is not df:
+        scratch.drop(given)
+    over = F.max if greatest else F.sum
+    sums = placed.groupBy(part, *groups).agg(over(value).alias("__sum"))
+    earlier = Window.partitionBy(*groups).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)  # a row per partition
+    names = {c: f"__key_{i}" for i, c in enumerate([part, *groups])}
+    starts = sums.select(*(F.col(c).alias(as_) for c, as_ in names.items()), over("__sum").over(earlier).alias("__start"))
+    inside = Window.partitionBy(part, *groups).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0 if greatest else -1)
+    on = reduce(and_, (F.col(c).eqNullSafe(F.col(as_)) for c, as_ in names.items()))
+    joined = placed.withColumn(total, over(value).over(inside)).join(starts, on)
+    whole = F.greatest(total, "__start") if greatest else F.coalesce(total, F.lit(0)) + F.coalesce("__start", F.lit(0))
+    return joined.withColumn(total, whole).drop(part, "__start", *names.values())

@@ -14,9 +14,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; a temporary one only where that is unset."""
+    """The folder in spark.checkpoint.dir; a temporary one only where that is unset, and only in a local session."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not named:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         named = tempfile.mkdtemp(prefix="frameloom-checkpoint-")
         spark.sparkContext.setCheckpointDir(named)
         spark.conf.set("spark.checkpoint.dir", named)
@@ -57,6 +59,10 @@ class Scratch:
         back._frameloom_path = path
         return back
 
+    def folder(self, name: str) -> str:
+        """A path for files of one's own, deleted with the tables."""
+        return f"{self.root}/{name}"
+
     def drop(self, *frames: DataFrame | None) -> None:
         for df in frames:
             path = getattr(df, "_frameloom_path", None)

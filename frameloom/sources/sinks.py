@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 def write_list(df: DataFrame, value: Column, order: list[Column | str], path: str) -> None:
     """Lines in a total order, as text files whose names sort in it."""
-    df.select(value.alias("value"), *[(F.col(o) if isinstance(o, str) else o).alias(f"__o{i}") for i, o in enumerate(order)]).orderBy(*[f"__o{i}" for i in range(len(order))]).select("value").write.mode("overwrite").text(path)
+    df.withColumn("__value", value).orderBy(*order).select(F.col("__value").alias("value")).write.mode("overwrite").text(path)
 
 
 def write_index(df: DataFrame, key: str, path: str) -> None:
@@ -17,9 +17,10 @@ def write_index(df: DataFrame, key: str, path: str) -> None:
 
 
 def write_by_dataset(df: DataFrame, path: str, column: str = "dataset", rows_per_file: int = 1_000_000) -> None:
-    """A Parquet folder per dataset; a large dataset is spread over tasks and cut into several files."""
-    salted = df.repartition(F.col(column), F.pmod(F.xxhash64(*df.columns), F.lit(8)))
-    salted.write.mode("overwrite").partitionBy(column).option("maxRecordsPerFile", rows_per_file).parquet(path)
+    """A Parquet folder per dataset; a large dataset is spread over a task per `rows_per_file` rows. Rows are counted first."""
+    parts = df.groupBy(column).agg(F.ceil(F.count(F.lit(1)) / F.lit(rows_per_file)).alias("__parts")).withColumnRenamed(column, "__of")
+    salted = df.join(parts, df[column].eqNullSafe(F.col("__of"))).repartition(F.col(column), F.pmod(F.xxhash64(*df.columns), F.col("__parts")))
+    salted.drop("__of", "__parts").write.mode("overwrite").partitionBy(column).option("maxRecordsPerFile", rows_per_file).parquet(path)
 
 
 def overlap_flags(df: DataFrame) -> Column:
@@ -94,6 +95,7 @@ def copy_plan(images: DataFrame, labels: DataFrame, source: str = "path") -> Dat
 
 def catalog_markdown(cat: DataFrame) -> DataFrame:
     """Table rows of a catalog as Markdown text, one per dataset, in order of the dataset."""
-    cell = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("-"))
-    row = F.concat(F.lit("| "), F.concat_ws(" | ", "dataset", cell("workspace_id"), F.when(F.col("enabled"), "yes").otherwise("no"), F.coalesce(F.array_join("class_names", ", "), F.lit("-")), cell("variety_min"), cell("closeup"), cell("faraway"), cell("phash_max")), F.lit(" |"))
+    cell = lambda c: F.coalesce((F.col(c) if isinstance(c, str) else c).cast("string"), F.lit("-"))
+    number = lambda c: cell(F.regexp_replace(F.col(c).cast("decimal(20,10)").cast("string"), r"\.?0+$", ""))  # noqa: E731  (no exponent)
+    row = F.concat(F.lit("| "), F.concat_ws(" | ", "dataset", cell("workspace_id"), F.when(F.col("enabled"), "yes").otherwise("no"), F.coalesce(F.array_join("class_names", ", "), F.lit("-")), cell("variety_min"), number("closeup"), number("faraway"), cell("phash_max")), F.lit(" |"))
     return cat.select("dataset", row.alias("line")).orderBy("dataset")

@@ -9,6 +9,7 @@ from frameloom.functions import geometry as G
 from frameloom.functions import names as N
 from frameloom.functions import text as T
 from frameloom.operators import stats as S
+from frameloom.plans.scratch import Scratch
 from frameloom.params import Params
 
 H = "0123456789abcdef0123456789ABCDEF"
@@ -103,12 +104,76 @@ def test_texts(spark):
     assert one(spark, T.criterion(F.lit("cheap"), F.lit(None).cast("string"))) == "cheap / (no reason)"
 
 
-def test_kmeans_and_elbow():
-    values, weights = [1.0, 2.0, 10.0, 11.0], [5, 5, 5, 5]
-    centres, group = S.kmeans_1d(values, weights, 2)
-    assert centres == [1.5, 10.5] and group == [0, 0, 1, 1]
-    assert S.elbow([1.0, 2.0], [1, 1]) == 1
-    assert S.log_edges(1e-4, 1.0)[0] == 0.0 and math.isinf(S.log_edges(1e-4, 1.0)[-1])
+def _plain_groups(values, k):
+    """1-D k-means as the survey words it (G15): starts at quantiles, ties to the lower, until centres stay."""
+    xs = sorted(values)
+    if k <= 1 or len(xs) <= k:
+        return [xs]
+
+    def at(q):
+        i, f = divmod(q * (len(xs) - 1), 1)
+        return xs[int(i)] * (1 - f) + xs[min(int(i) + 1, len(xs) - 1)] * f
+
+    middle = [at((i + 0.5) / k) for i in range(k)]
+    for _ in range(100):
+        of = [[] for _ in middle]
+        for x in xs:
+            of[min(range(k), key=lambda j: (abs(x - middle[j]), j))].append(x)
+        new = [sum(g) / len(g) if g else m for g, m in zip(of, middle)]
+        if new == middle:
+            break
+        middle = new
+    return [g for g in of if g]
+
+
+def _plain_elbow(values, most=5):
+    """G17: the greatest second difference of the sums of squares; the last k if its gain is over 15 % of the first sum."""
+    different = len(set(values))
+    if different < 3:
+        return 1
+    most = min(most, different)
+    cost = {k: sum((x - sum(g) / len(g)) ** 2 for g in _plain_groups(values, k) for x in g) for k in range(1, most + 1)}
+    if (cost[most - 1] - cost[most]) / cost[1] > 0.15:
+        return most
+    second = {k: (cost[k - 1] - cost[k]) - (cost[k] - cost[k + 1]) for k in range(2, most)}
+    return max(second, key=lambda k: (second[k], -k))
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_grouped_values(spark, seed):
+    import random
+
+    rng = random.Random(seed)
+    values = [round(rng.choice([-3.0, -1.5, 0.0]) + rng.gauss(0, 0.3), 4) for _ in range(60)] if seed < 5 else [[1.0, 1.0, 2.0], [1.0, 2.0, 3.0, 3.0], [5.0] * 4][seed - 5]
+    df = spark.createDataFrame([(v,) for v in values] + [(None,)], "v double")
+    k = _plain_elbow(values)
+    want = [(len(g), min(g), max(g)) for g in _plain_groups(values, k)]
+    got = [(r.n, r.least, r.most) for r in S.grouped_values(df, "v", Scratch(spark, "t")).orderBy("group").collect()]
+    assert got == want
+    assert [r.n for r in S.grouped_values(df, "v", Scratch(spark, "t"), k=2).orderBy("group").collect()] == [len(g) for g in _plain_groups(values, 2)]
+
+
+def test_grouped_values_of_nothing(spark):
+    assert S.grouped_values(spark.createDataFrame([], "v double"), "v", Scratch(spark, "t")).count() == 0
+
+
+def test_elbow_and_edges():
+    assert S.elbow([10.0, 9.0], 2) == 1 and S.elbow([0.0, 0.0, 0.0], 3) == 2
+    assert S.elbow([100.0, 50.0, 45.0, 44.0], 9) == 2 and S.elbow([100.0, 90.0, 80.0, 60.0], 9) == 4
+    assert S.elbow([100.0, 95.0, 60.0, 58.0], 9) == 3
+    edges = S.log_edges(1e-3, 0.4)
+    assert edges[0] == 0.0 and math.isinf(edges[-1]) and len(edges) == 11 and edges[5] == pytest.approx(0.02)
+
+
+def test_quantiles_of_any_group(spark):
+    import numpy as np
+
+    rows = [(g, float(v) if v % 11 else None) for g in (None, 1, 2) for v in range(g or 5, 90, (g or 3) * 2)] + [(7, 3.0)]
+    got = {r.g: r for r in S.quantiles(spark.createDataFrame(rows, "g int, v double").repartition(4), ["g"], "v", (0.0, 0.1, 0.5, 1.0), Scratch(spark, "t"), root=True).collect()}
+    for g in (None, 1, 2, 7):
+        of = [v for x, v in rows if x == g and v is not None]
+        for i, p in enumerate((0.0, 0.1, 0.5, 1.0)):
+            assert got[g][f"q_{i}"] == pytest.approx(np.quantile(of, p)) and got[g][f"r_{i}"] == pytest.approx(np.quantile(np.sqrt(of), p))
 
 
 def test_params_from_env(monkeypatch):

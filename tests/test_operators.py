@@ -168,7 +168,7 @@ def test_exclusive_matches_and_precision(spark):
     shape = lambda d: d.withColumn("b", F.struct("x1", "y1", "x2", "y2")).withColumn("pixels", F.lit(100.0))
     m = M.exclusive_matches(shape(t), shape(p))
     assert {(r.is_gt, r.ord): r.matched for r in m.collect()} == {(True, 0): True, (True, 1): False, (False, 0): True, (False, 1): False, (False, 2): False}
-    assert E.average_precision(m).first().ap == pytest.approx(0.25)
+    assert E.average_precision(m, Scratch(spark, "t")).first().ap == pytest.approx(0.25)
     s = {r.bucket: (r.tp, r.fn, r.fp) for r in E.size_breakdown(m).collect()}
     assert s == {"small": (1, 1, 2)}
 
@@ -194,6 +194,27 @@ def test_rank_in_groups(spark):
         assert sorted(r.nth for r in got if r.g == g) == list(range(len(of)))
 
 
+def test_running_totals(spark):
+    from frameloom.plans.ranks import running_totals
+
+    rows = [(i % 3 if i % 7 else None, (i * 37) % 101, i % 5 if i % 4 else None) for i in range(100)]
+    df = spark.createDataFrame(rows, "g int, o int, v bigint").repartition(6)
+    for greatest in (False, True):
+        got = {(r.g, r.o): r.x for r in running_totals(df, ["o"], "v", Scratch(spark, "t"), "x", ["g"], greatest).collect()}
+        for g, o, _ in rows:
+            of = [v or 0 for x, y, v in rows if x == g and (y <= o if greatest else y < o)]
+            assert (got[g, o] or 0) == (max(of) if greatest else sum(of))
+
+
+@pytest.mark.parametrize("n", [1, 50, 5000, 30000])
+def test_sample(spark, n):
+    import hashlib
+
+    ids = range(20000)
+    got = {r.id for r in H.sample(spark.range(20000), n, "id", Scratch(spark, "t"), 7).collect()}
+    assert got == set(sorted(ids, key=lambda i: (hashlib.md5(f"7:{i}".encode()).hexdigest(), i))[:n])
+
+
 def test_current_images(spark):
     rows = [
         (1, None, "TRAIN", "r/a-v1/train/images/x.jpg", "2024-01-01 00:00:00"),
@@ -570,8 +591,8 @@ def test_average_precision_at_ten_thresholds(spark):
     schema = "image_id bigint, class_id int, ord int, x1 double, y1 double, x2 double, y2 double"
     shape = lambda d: d.withColumn("b", F.struct("x1", "y1", "x2", "y2")).withColumn("pixels", F.lit(100.0))
     truth, found = shape(spark.createDataFrame(t, schema)), shape(spark.createDataFrame(p, schema + ", conf double"))
-    got = {r.class_id: r for r in E.mean_average_precision(truth, found, M.matches_by_threshold(truth, found, Scratch(spark, "t"), E.IOU_THRESHOLDS)).collect()}
-    per = [{r.class_id: r.ap for r in E.average_precision(M.exclusive_matches(truth, found, x)).collect()} for x in E.IOU_THRESHOLDS]
+    got = {r.class_id: r for r in E.mean_average_precision(truth, found, M.matches_by_threshold(truth, found, Scratch(spark, "t"), E.IOU_THRESHOLDS), Scratch(spark, "t")).collect()}
+    per = [{r.class_id: r.ap for r in E.average_precision(M.exclusive_matches(truth, found, x), Scratch(spark, "t")).collect()} for x in E.IOU_THRESHOLDS]
     assert len(per) == 10 and set(got) == set(per[0]) == {0, 1, 7}
     for c, r in got.items():
         assert r.ap50 == pytest.approx(per[0][c]) and r.ap50_95 == pytest.approx(sum(x[c] for x in per) / 10)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import pytest
 
-from frameloom.catalogue import more, pairs, reports, rules  # noqa: F401
+from frameloom.catalogue import files, more, pairs, reports, rules  # noqa: F401
 from frameloom.catalogue.registry import QUERIES, SQL
 from tests.same import assert_same
 
