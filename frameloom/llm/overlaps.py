@@ -28,7 +28,7 @@ STRAIGHT, MIRRORED = 1, 2
 
 
 class Overlaps(NamedTuple):
-    """members: id, train, mark, kind (null without hashes) and the records' other columns; kinds: kind, n_train,
+    """members: id, train, mark, kind (its hashes; null without any) and the records' other columns; kinds: kind, n_train,
     n_eval; near: kt, ke, distance, containment of near kinds of training and of evaluation records."""
 
     members: DataFrame
@@ -47,16 +47,12 @@ def _containment(a: str, b: str) -> F.Column:
 def match_kinds(records: DataFrame, scratch: Scratch) -> Overlaps:
     """Kinds of records (id, split, phash, phash_mirror, mark, further columns) and which of them are near. See `cross_split_overlaps`."""
     taken = ("id", "split", "phash", "phash_mirror", "mark")
-    others = [c for c in records.columns if c not in (*taken, "train", "kind", "f", "h", "m")]
+    others = [c for c in records.columns if c not in (*taken, "train", "kind")]
     known = F.col("phash").isNotNull().cast("int") + F.col("phash_mirror").isNotNull().cast("int") * 2
-    kept = scratch.keep(
-        records.where("id IS NOT NULL AND split IN ('train', 'valid', 'test')").select(
-            "id", "split", *others, (F.col("split") == "train").alias("train"), F.unhex("mark").alias("mark"), known.alias("f"), F.coalesce("phash", F.lit(0)).alias("h"), F.coalesce("phash_mirror", F.lit(0)).alias("m")
-        )
-    )
-    kinds = scratch.keep(kept.where("f > 0").groupBy("h", "m", "f").agg(F.min("id").alias("kind"), F.count_if("train").alias("n_train"), F.count_if(~F.col("train")).alias("n_eval")))
-    members = scratch.keep(kept.join(kinds.select("h", "m", "f", "kind"), ["h", "m", "f"], "left").drop("h", "m", "f"))
-    face = lambda c, face: F.when(F.col("f").bitwiseAND(face) > 0, F.struct(F.col(c).alias("value"), F.lit(face).alias("face")))
+    kind = F.when(known > 0, F.struct(F.coalesce("phash", F.lit(0)).alias("h"), F.coalesce("phash_mirror", F.lit(0)).alias("m"), known.alias("f")))
+    members = scratch.keep(records.where("id IS NOT NULL AND split IN ('train', 'valid', 'test')").select("id", "split", *others, (F.col("split") == "train").alias("train"), F.unhex("mark").alias("mark"), kind.alias("kind")))
+    kinds = scratch.keep(members.where("kind IS NOT NULL").groupBy("kind").agg(F.count_if("train").alias("n_train"), F.count_if(~F.col("train")).alias("n_eval")))
+    face = lambda c, face: F.when(F.col("kind.f").bitwiseAND(face) > 0, F.struct(F.col(f"kind.{c}").alias("value"), F.lit(face).alias("face")))
     faces = kinds.select("kind", "n_train", "n_eval", F.explode(F.array_compact(F.array(face("h", STRAIGHT), face("m", MIRRORED)))).alias("x")).select("kind", "n_train", "n_eval", "x.*")
     side = F.when(F.col("n_train") > 0, 1).otherwise(0) + F.when(F.col("n_eval") > 0, 2).otherwise(0)
     values = scratch.keep(faces.groupBy("value").agg(F.bit_or(side).alias("side")))
@@ -65,7 +61,7 @@ def match_kinds(records: DataFrame, scratch: Scratch) -> Overlaps:
     e = faces.where("n_eval > 0").select(F.col("kind").alias("ke"), F.col("value").alias("b"), F.col("face").alias("fe"))
     met = close.join(t, "a").join(e, "b").where(~((F.col("ft") == MIRRORED) & (F.col("fe") == MIRRORED)))
     near = scratch.keep(met.groupBy("kt", "ke").agg(F.min("distance").alias("distance"), F.max("containment").alias("containment")))
-    return Overlaps(members, kinds.select("kind", "n_train", "n_eval"), near)
+    return Overlaps(members, kinds, near)
 
 
 def cross_split_overlaps(records: DataFrame, scratch: Scratch) -> DataFrame:
