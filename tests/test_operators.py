@@ -17,6 +17,7 @@ from frameloom.operators.graph import connected_components
 from frameloom.operators.images import current_images
 from frameloom.operators.sequences import selected_frames, thin_clips
 from frameloom.plans.ranks import rank_in_groups
+from frameloom.params import DEFAULTS
 from frameloom.plans.scratch import Scratch
 from frameloom.sources import labels as L
 
@@ -326,7 +327,10 @@ def test_at_confidence(spark):
     assert (r.precision, r.recall) == pytest.approx((0.75, 0.4))
 
 
-def test_box_twins(spark):
+@pytest.mark.parametrize("least", [0.9, 0.6, 0.25])
+def test_box_twins(spark, least):
+    from dataclasses import replace
+
     rng = random.Random(9)
     rows = []
     for i in range(12):
@@ -335,7 +339,7 @@ def test_box_twins(spark):
             x, y, w, h = r.uniform(0.2, 0.8), r.uniform(0.2, 0.8), r.uniform(0.02, 0.3), r.uniform(0.02, 0.3)
             rows.append((i, "d", r.randrange(2), k, x + rng.uniform(-0.06, 0.06) * w, y + rng.uniform(-0.06, 0.06) * h, w * rng.uniform(0.96, 1.04), h))
     rows.append((99, "d", 0, 0, 0.5, 0.5, 0.1, 0.1))
-    got = {(r.a, r.z, r.n) for r in M.box_twins(spark.createDataFrame(rows, "image_id bigint, dataset string, class_id int, ord int, xc double, yc double, w double, h double"), Scratch(spark, "t")).collect()}
+    got = {(r.a, r.z, r.n) for r in M.box_twins(spark.createDataFrame(rows, "image_id bigint, dataset string, class_id int, ord int, xc double, yc double, w double, h double"), Scratch(spark, "t"), replace(DEFAULTS, dup_containment=least)).collect()}
 
     def contained(p, q):
         w = min(p[4] + p[6] / 2, q[4] + q[6] / 2) - max(p[4] - p[6] / 2, q[4] - q[6] / 2)
@@ -348,7 +352,7 @@ def test_box_twins(spark):
             pairs = sorted(((min(contained(p, q), contained(q, p)), p[3], q[3]) for p in rows if p[0] == a for q in rows if q[0] == z and p[2] == q[2]), reverse=True)
             i, j, n = set(), set(), 0
             for s_, x, y in pairs:
-                if s_ >= 0.9 and x not in i and y not in j:
+                if s_ >= least and x not in i and y not in j:
                     i.add(x)
                     j.add(y)
                     n += 1
