@@ -327,6 +327,65 @@ def test_at_confidence(spark):
     assert (r.precision, r.recall) == pytest.approx((0.75, 0.4))
 
 
+@pytest.mark.parametrize("m, threshold", [(0, 12), (3, 5), (4, 12), (7, 12), (8, 20), (5, 0)])
+def test_nearest_by_words(monkeypatch, m, threshold):
+    """Each value with all that are nearest, over several cells, parts and lists of ties."""
+    import numpy as np
+    import pyarrow as pa
+
+    rng = np.random.default_rng(m)
+    centres = rng.integers(0, 2**64, 6, dtype=np.uint64)
+
+    def some(n):
+        v = centres[rng.integers(0, 6, n)]
+        for _ in range(5):
+            v = v ^ (np.uint64(1) << rng.integers(0, 64, n, dtype=np.uint64))
+        return np.unique(np.concatenate([v, rng.integers(0, 2**64, n, dtype=np.uint64), centres[:3]]))
+
+    rights, cells = some(250), [some(120), some(80)]
+    k = np.concatenate([np.full(len(v), 2 * c + side, np.int32) for c, left in enumerate(cells) for side, v in enumerate((left, rights))])
+    value = np.concatenate([v for left in cells for v in (left, rights)]).view(np.int64)
+    batches = [pa.RecordBatch.from_arrays([pa.array(k[i : i + 70]), pa.array(value[i : i + 70])], ["k", "value"]) for i in range(0, len(k), 70)]
+    monkeypatch.setattr(Sim, "_n_words", lambda *_: m)
+    got = {tuple(r.values()) for b in Sim._nearest_of_partition(iter(batches), threshold, at_once=100, most_ties=30) for r in b.to_pylist()}
+    assert all(bits(a, b) == d <= threshold for a, b, d in got)
+    want = set()
+    for left in cells:
+        for a in left.view(np.int64).tolist():
+            each = [(bits(a, b), b) for b in rights.view(np.int64).tolist()]
+            want |= {(a, b, d) for d, b in each if d == min(each)[0] <= threshold}
+    assert want and want <= got
+
+
+def test_nearest_compares_few_pairs(monkeypatch):
+    """Of random values a fiftieth of the pairs; of values all near to each other no list of all pairs."""
+    import numpy as np
+
+    rng = np.random.default_rng(0)
+    count, compared = np.bitwise_count, 0
+
+    def counted(x):
+        nonlocal compared
+        compared += x.size
+        return count(x)
+
+    left, right = rng.integers(0, 2**64, 1000, dtype=np.uint64), rng.integers(0, 2**64, 200_000, dtype=np.uint64)
+    monkeypatch.setattr(Sim, "_n_words", lambda *_: 4)
+    monkeypatch.setattr(np, "bitwise_count", counted)
+    list(Sim._nearest_in_turn(left, right, np.full(1000, 12, np.uint8), 12))
+    assert 0 < compared < 1000 * 200_000 / 50
+
+
+def test_nearest_values_lists_the_nearest_only(spark):
+    """300 values that are all within 12 bits of 300 others, of which one is nearest: 90,000 pairs are within."""
+    scratch = Scratch(spark, "t")
+    left = scratch.keep(spark.range(300).select((F.col("id") * 2048).alias("value")))
+    right = spark.range(300).select((F.col("id") * 2048 + F.when(F.col("id") == 0, 0).otherwise(1)).alias("value"))
+    got = Sim.nearest_values(left, right, 12).collect()
+    assert {r.a for r in got} == {2048 * i for i in range(300)} and len(got) < 3000
+    assert all(any(r.distance == 1 and r.b == r.a + 1 for r in got if r.a == a) for a in (2048 * 3, 2048 * 299))
+
+
 @pytest.mark.parametrize("least", [0.9, 0.6, 0.25])
 def test_box_twins(spark, least):
     from dataclasses import replace
